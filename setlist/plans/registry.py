@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "setlist.plans.recsys",
+    "setlist.plans.etl",
 ]
 
 

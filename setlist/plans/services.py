@@ -1,0 +1,49 @@
+"""A deterministic stand-in for the external feature service.
+
+Used by the registered enrichment query and the tests: the answer for an id
+is a pure function of ``md5(id)``, so SQL can recompute it and a re-run (or
+a retried task) returns the same records.  Ids whose md5 starts with ``0``
+are "not found" (``None``), exercising the empty-answer path.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+
+def _unit(h: str) -> float:
+    return int(h, 16) / 4294967296.0
+
+
+def hashed_track_service(ids: list) -> list:
+    out = []
+    for i in ids:
+        h = hashlib.md5(str(i).encode()).hexdigest()
+        if h[0] == "0":
+            out.append(None)
+            continue
+        out.append({
+            "id": str(i),
+            "uri": f"x:track:{i}",
+            "type": "audio_features",
+            "danceability": _unit(h[1:9]),
+            "energy": _unit(h[9:17]),
+            "key": int(h[17:19], 16) % 12,
+            "mode": int(h[19], 16) % 2,
+            "tempo": 60.0 + int(h[20:24], 16) % 140,
+        })
+    return out
+
+
+# The same records in DuckDB SQL, for an id column ``{id}``.
+HASHED_TRACK_SQL = """
+  SELECT CAST({id} AS VARCHAR) AS track_spid,
+         'x:track:' || CAST({id} AS VARCHAR) AS track_uri,
+         'audio_features' AS track_type,
+         ('0x' || substr(h, 2, 8))::BIGINT / CAST(4294967296 AS DOUBLE) AS track_danceability,
+         ('0x' || substr(h, 10, 8))::BIGINT / CAST(4294967296 AS DOUBLE) AS track_energy,
+         ('0x' || substr(h, 18, 2))::BIGINT % 12 AS track_key,
+         ('0x' || substr(h, 20, 1))::BIGINT % 2 AS track_mode,
+         CAST(60 + ('0x' || substr(h, 21, 4))::BIGINT % 140 AS DOUBLE) AS track_tempo
+  FROM (SELECT {id}, md5(CAST({id} AS VARCHAR)) AS h FROM {src}) s
+  WHERE substr(h, 1, 1) <> '0'"""
