@@ -94,20 +94,59 @@ def array_item_vectors(df: DataFrame, id_col: str, array_col: str, dim: int,
     return array_features(base, "_v", dim, prefix)
 
 
+def item_matrix_bytes(items: DataFrame, feature_cols: list[str]) -> tuple[int, int]:
+    """(rows, bytes) of the dense item matrix — one count job; the check every
+    broadcast of the items goes through."""
+    n = items.count()
+    return n, n * (len(feature_cols) + 1) * 8
+
+
 # --------------------------------------------------------------------- R3 ---
+HOT_QUERY_ROWS = 1_000_000
+HOT_SALTS = 64
+
+
 def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
-                  query_col: str = "pid", item_col: str = "item") -> DataFrame:
+                  query_col: str = "pid", item_col: str = "item",
+                  hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS,
+                  broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                  pairs_distinct: bool = False) -> DataFrame:
     """Mean feature vector per query over its *distinct* known items.
 
     Returns ``(query_col, *features, n_known)``.  A query with no known item
     gets no row (D5); a duplicated item key in ``items`` counts every copy,
-    as the reference's index filter does.
+    as the reference's index filter does.  ``items`` must hold no null
+    feature (``item_vectors`` drops such rows), so one count serves every mean.
+
+    Plan: only the narrow ``(query, item)`` pairs are shuffled, by query;
+    the item matrix is joined inside the partition (broadcast when Catalyst
+    /AQE see it is small) and summed there, so the wide per-feature rows are
+    never shuffled at pair cardinality.  Queries with more than ``hot_rows``
+    distinct items — at most ``pairs / hot_rows`` of them, so the list is
+    small by construction — are salted over ``salts`` partitions and merged
+    by a second, tiny aggregation; all other queries finish in one pass.
     """
-    ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).distinct()
-    known = ids.join(items, "item", "inner")
-    return known.groupBy(query_col).agg(
-        *[F.avg(c).alias(c) for c in feature_cols],
-        F.count(F.lit(1)).alias("n_known"))
+    ids = pairs.select(F.col(query_col), F.col(item_col).alias("item"))
+    if not pairs_distinct:
+        ids = ids.distinct()
+    _, item_bytes = item_matrix_bytes(items, feature_cols)
+    side = F.broadcast(items) if item_bytes <= broadcast_max_bytes else items
+    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_n"))
+    hot = sizes.filter(F.col("_n") > hot_rows).select(query_col, F.lit(True).alias("_hot"))
+    tagged = (ids.join(F.broadcast(hot), query_col, "left")
+              .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
+              .withColumn("_s", F.when(F.col("_hot"), F.pmod(F.xxhash64("item"), F.lit(salts)))
+                          .otherwise(F.lit(0)).cast("int"))
+              .repartition(query_col, "_s"))
+    partial = (tagged.join(side, "item", "inner")
+               .groupBy(query_col, "_s", "_hot")
+               .agg(*[F.sum(c).alias(c) for c in feature_cols], F.count(F.lit(1)).alias("n_known")))
+    cold = partial.filter(~F.col("_hot"))
+    warm = (partial.filter(F.col("_hot")).groupBy(query_col)
+            .agg(*[F.sum(c).alias(c) for c in feature_cols], F.sum("n_known").alias("n_known")))
+    merged = cold.select(query_col, *feature_cols, "n_known").unionByName(warm)
+    return merged.select(query_col, *[(F.col(c) / F.col("n_known")).alias(c) for c in feature_cols],
+                         F.col("n_known").cast("long").alias("n_known"))
 
 
 # ------------------------------------------------------------- numpy core ---
@@ -260,8 +299,7 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
         q = q.withColumn("_k", F.col("_n"))
     q = q.filter(F.col("_k") > 0)
 
-    n_items = items.count()
-    item_bytes = n_items * (len(feature_cols) + 1) * 8
+    n_items, item_bytes = item_matrix_bytes(items, feature_cols)
     if strategy == "auto":
         strategy = "broadcast" if item_bytes <= broadcast_max_bytes else "tiled"
     if strategy == "broadcast":

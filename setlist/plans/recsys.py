@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from setlist.operators.evaluate import evaluate
 from setlist.operators.similarity import query_vectors, recommend
 from setlist.operators.split import holdout_split, sample_n, split_lists, split_two_tables
+from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
                                   playlist_pairs)
 
@@ -133,7 +134,13 @@ FROM split s JOIN first3 f ON f.pid = s.pid WHERE s.part = 'train' GROUP BY s.pi
 
 # ---------------------------------------------------------------- Spark ----
 def _split(spark, sf_dir) -> DataFrame:
-    return holdout_split(playlist_pairs(spark, sf_dir), "pid", "item", TEST_FRAC, SEED)
+    """The hold-out split, written once to the session's checkpoint folder.
+
+    Every recommendation query reads it several times (pairs, sizes, train,
+    test); a reliable checkpoint computes the windowed ranking once and
+    lets a lost executor's downstream tasks re-read files instead of
+    recomputing the split."""
+    return materialize(holdout_split(playlist_pairs(spark, sf_dir), "pid", "item", TEST_FRAC, SEED))
 
 
 def _rounded(recs: DataFrame) -> DataFrame:
@@ -144,15 +151,20 @@ def _train(split: DataFrame) -> DataFrame:
     return split.filter(F.col("part") == "train").drop("part")
 
 
+def _qv(train: DataFrame, items: DataFrame, cols) -> DataFrame:
+    """Query vectors of split train pairs (already distinct by construction)."""
+    return query_vectors(train, items, cols, pairs_distinct=True)
+
+
 @register("holdout_split", SQL_HOLDOUT)
 def q_holdout_split(spark, sf_dir):
-    return _split(spark, sf_dir)
+    return holdout_split(playlist_pairs(spark, sf_dir), "pid", "item", TEST_FRAC, SEED)
 
 
 @register("cosine_topn", SQL_COSINE_TOPN)
 def q_cosine_topn(spark, sf_dir):
     items, cols = embedding_items(spark, sf_dir)
-    qv = query_vectors(_train(_split(spark, sf_dir)), items, cols)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
     return _rounded(recommend(qv, items, TOP_N, cols))
 
 
@@ -160,7 +172,7 @@ def q_cosine_topn(spark, sf_dir):
 def q_cosine_topn_excluding_seen(spark, sf_dir):
     items, cols = embedding_items(spark, sf_dir)
     train = _train(_split(spark, sf_dir))
-    qv = query_vectors(train, items, cols)
+    qv = _qv(train, items, cols)
     return _rounded(recommend(qv, items, TOP_N, cols, exclude=train))
 
 
@@ -168,7 +180,7 @@ def q_cosine_topn_excluding_seen(spark, sf_dir):
 def q_recommend_batch_variable_n(spark, sf_dir):
     """Per-row n — each playlist asks for as many items as it has known train items."""
     items, cols = embedding_items(spark, sf_dir)
-    qv = query_vectors(_train(_split(spark, sf_dir)), items, cols)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
     return _rounded(recommend(qv, items, "n_known", cols))
 
 
@@ -197,7 +209,7 @@ def q_evaluate_sample(spark, sf_dir):
 def q_query_vectors(spark, sf_dir):
     """R3 in long form (pid, dim, value)."""
     items, cols = embedding_items(spark, sf_dir)
-    qv = query_vectors(_train(_split(spark, sf_dir)), items, cols)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
     cells = F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.col(c).alias("value"))
                                 for i, c in enumerate(cols)]))
     return (qv.select("pid", cells.alias("c"))
@@ -212,7 +224,7 @@ def q_query_vector_table(spark, sf_dir):
     sizes = split.groupBy("pid").agg(
         F.count(F.when(F.col("part") == "train", 1)).alias("n_train"),
         F.count(F.when(F.col("part") == "test", 1)).alias("n_test"))
-    qv = query_vectors(_train(split), items, cols)
+    qv = _qv(_train(split), items, cols)
     return qv.join(sizes, "pid").select(
         "pid", "n_train", "n_test", "n_known", *[F.round(c, 6).alias(c) for c in cols])
 
