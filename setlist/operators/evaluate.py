@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setlist.operators.similarity import query_vectors, recommend
+from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
 
 
 def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFrame:
@@ -27,7 +27,7 @@ def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFr
 
 def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *,
              query_col: str = "pid", item_col: str = "item", exclude_seen: bool = False,
-             **recommend_args) -> DataFrame:
+             item_stats: tuple[int, int] | None = None, **recommend_args) -> DataFrame:
     """R7/R8 over every split playlist: n = size of its held-out part.
 
     ``split_long``: ``(query, item, part)`` with part in {train, test}.
@@ -38,11 +38,14 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
     s = split_long.select(F.col(query_col), F.col(item_col).alias("item"), "part")
     train = s.filter(F.col("part") == "train").drop("part")
     test = s.filter(F.col("part") == "test").drop("part")
-    qv = query_vectors(train, items, feature_cols, query_col)
+    if item_stats is None:
+        item_stats = item_matrix_bytes(items, feature_cols)
+    qv = query_vectors(train, items, feature_cols, query_col, item_bytes=item_stats[1])
     n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n_req"))
     queries = qv.join(n_test, query_col, "inner")
     recs = recommend(queries, items, "n_req", feature_cols, query_col=query_col,
-                     exclude=train if exclude_seen else None, **recommend_args)
+                     exclude=train if exclude_seen else None, item_stats=item_stats,
+                     **recommend_args)
     scores = hit_rate(recs, test, query_col)
     playlists = s.select(query_col).distinct()
     return (playlists.join(scores, query_col, "left")

@@ -110,7 +110,7 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
                   query_col: str = "pid", item_col: str = "item",
                   hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS,
                   broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                  pairs_distinct: bool = False) -> DataFrame:
+                  pairs_distinct: bool = False, item_bytes: int | None = None) -> DataFrame:
     """Mean feature vector per query over its *distinct* known items.
 
     Returns ``(query_col, *features, n_known)``.  A query with no known item
@@ -129,7 +129,8 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item"))
     if not pairs_distinct:
         ids = ids.distinct()
-    _, item_bytes = item_matrix_bytes(items, feature_cols)
+    if item_bytes is None:
+        _, item_bytes = item_matrix_bytes(items, feature_cols)
     side = F.broadcast(items) if item_bytes <= broadcast_max_bytes else items
     sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.filter(F.col("_n") > hot_rows).select(query_col, F.lit(True).alias("_hot"))
@@ -270,7 +271,8 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
               query_col: str = "pid", exclude: DataFrame | None = None,
               strategy: str = "auto",
               broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-              tile_rows: int | None = None, qblock_rows: int = 8192) -> DataFrame:
+              tile_rows: int | None = None, qblock_rows: int = 8192,
+              item_stats: tuple[int, int] | None = None) -> DataFrame:
     """Top-``n`` items by cosine similarity for every query vector.
 
     ``queries``: ``(query_col, *feature_cols[, n column])`` — e.g. the output
@@ -299,7 +301,7 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
         q = q.withColumn("_k", F.col("_n"))
     q = q.filter(F.col("_k") > 0)
 
-    n_items, item_bytes = item_matrix_bytes(items, feature_cols)
+    n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
     if strategy == "auto":
         strategy = "broadcast" if item_bytes <= broadcast_max_bytes else "tiled"
     if strategy == "broadcast":

@@ -19,25 +19,18 @@ def _seed_hash(seed, cols) -> F.Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def hash_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed=42) -> DataFrame:
-    """Rank rows inside each group by ``md5(seed|group|key)`` (ties: key) without
-    ever putting a whole group into one task.
-
-    A plain ``row_number().over(partitionBy(group))`` sorts a hot group in a
-    single task.  Instead: count rows per (group, 16-bit md5 prefix) with a
-    hash aggregate, turn the counts into per-bucket offsets with a window over
-    at most 65,536 bucket rows per group, and rank inside (group, bucket)
-    only.  Both branches share the scan and its exchange (the bucket is a
-    non-nullable expression, so no inferred filter tells them apart).  Rows
-    with a null group key are not ranked.  Adds ``_rank`` (1-based) and
-    ``_size`` (rows in the group).
-    """
+BIG_GROUP_ROWS = 1_000_000
+
+
+def _bucket_rank(h: DataFrame, group_cols: list[str], key_cols: list[str], seed) -> DataFrame:
+    """Rank by md5 inside groups of any size: count rows per (group, 16-bit
+    md5 prefix) with a hash aggregate, turn the counts into per-bucket offsets
+    with a window over at most 65,536 bucket rows per group, rank inside
+    (group, bucket) only."""
     cols = group_cols + key_cols
-    src = df.filter(F.col(group_cols[0]).isNotNull()) if len(group_cols) == 1 else \
-        df.dropna(subset=group_cols)
     bucket = F.coalesce(F.conv(F.substring(_seed_hash(seed, cols), 1, _BUCKET_HEX), 16, 10)
                         .cast("int"), F.lit(0))
-    h = src.withColumn("_b", bucket)
+    h = h.withColumn("_b", bucket)
     counts = h.groupBy(*group_cols, "_b").agg(F.count(F.lit(1)).alias("_c"))
     wg = Window.partitionBy(*group_cols)
     counts = (counts
@@ -51,6 +44,33 @@ def hash_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed=42
             .drop("_off", "_b"))
 
 
+def hash_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed=42,
+              big_group_rows: int = BIG_GROUP_ROWS) -> DataFrame:
+    """Rank rows inside each group by ``md5(seed|group|key)`` (ties: key) without
+    ever putting a group of more than ``big_group_rows`` rows into one task.
+
+    Group sizes come from a hash aggregate (partial counts, skew-safe).  The
+    groups above the threshold — at most ``rows / big_group_rows`` of them, so
+    the list is small by construction — are broadcast and ranked with
+    md5-prefix buckets (:func:`_bucket_rank`); every other group is ranked by
+    one window whose partition holds at most ``big_group_rows`` rows.  Rows
+    with a null group key are not ranked.  Adds ``_rank`` (1-based) and
+    ``_size`` (rows in the group).
+    """
+    cols = group_cols + key_cols
+    src = df.dropna(subset=group_cols)
+    sizes = src.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.filter(F.col("_n") > big_group_rows).select(*group_cols, F.lit(True).alias("_big"))
+    tagged = src.join(F.broadcast(big), group_cols, "left")
+    wg = Window.partitionBy(*group_cols)
+    cold = (tagged.filter(F.col("_big").isNull()).drop("_big")
+            .withColumn("_rank", F.row_number().over(wg.orderBy(_seed_hash(seed, cols), *key_cols))
+                        .cast("long"))
+            .withColumn("_size", F.count(F.lit(1)).over(wg)))
+    hot = _bucket_rank(tagged.filter(F.col("_big")).drop("_big"), group_cols, key_cols, seed)
+    return cold.unionByName(hot)
+
+
 def holdout_split(pairs: DataFrame, group_col: str = "pid", item_col: str = "item",
                   test_frac: float = 0.25, seed=42, min_size: int = 2) -> DataFrame:
     """Split every group's items into ``train`` and ``test``.

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlist.operators.evaluate import evaluate
-from setlist.operators.similarity import query_vectors, recommend
+from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
 from setlist.operators.split import holdout_split, sample_n, split_lists, split_two_tables
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
@@ -151,9 +151,15 @@ def _train(split: DataFrame) -> DataFrame:
     return split.filter(F.col("part") == "train").drop("part")
 
 
-def _qv(train: DataFrame, items: DataFrame, cols) -> DataFrame:
+def _qv(train: DataFrame, items: DataFrame, cols, stats) -> DataFrame:
     """Query vectors of split train pairs (already distinct by construction)."""
-    return query_vectors(train, items, cols, pairs_distinct=True)
+    return query_vectors(train, items, cols, pairs_distinct=True, item_bytes=stats[1])
+
+
+def _items(spark, sf_dir):
+    """Item table, its columns and its checked size (one count job)."""
+    items, cols = embedding_items(spark, sf_dir)
+    return items, cols, item_matrix_bytes(items, cols)
 
 
 @register("holdout_split", SQL_HOLDOUT)
@@ -163,53 +169,53 @@ def q_holdout_split(spark, sf_dir):
 
 @register("cosine_topn", SQL_COSINE_TOPN)
 def q_cosine_topn(spark, sf_dir):
-    items, cols = embedding_items(spark, sf_dir)
-    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
-    return _rounded(recommend(qv, items, TOP_N, cols))
+    items, cols, stats = _items(spark, sf_dir)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols, stats)
+    return _rounded(recommend(qv, items, TOP_N, cols, item_stats=stats))
 
 
 @register("cosine_topn_excluding_seen", SQL_COSINE_TOPN_EX)
 def q_cosine_topn_excluding_seen(spark, sf_dir):
-    items, cols = embedding_items(spark, sf_dir)
+    items, cols, stats = _items(spark, sf_dir)
     train = _train(_split(spark, sf_dir))
-    qv = _qv(train, items, cols)
-    return _rounded(recommend(qv, items, TOP_N, cols, exclude=train))
+    qv = _qv(train, items, cols, stats)
+    return _rounded(recommend(qv, items, TOP_N, cols, exclude=train, item_stats=stats))
 
 
 @register("recommend_batch_variable_n", SQL_VARIABLE_N)
 def q_recommend_batch_variable_n(spark, sf_dir):
     """Per-row n — each playlist asks for as many items as it has known train items."""
-    items, cols = embedding_items(spark, sf_dir)
-    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
-    return _rounded(recommend(qv, items, "n_known", cols))
+    items, cols, stats = _items(spark, sf_dir)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols, stats)
+    return _rounded(recommend(qv, items, "n_known", cols, item_stats=stats))
 
 
 @register("hit_rate", SQL_HIT_RATE)
 def q_hit_rate(spark, sf_dir):
-    items, cols = embedding_items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols)
+    items, cols, stats = _items(spark, sf_dir)
+    return evaluate(_split(spark, sf_dir), items, cols, item_stats=stats)
 
 
 @register("hit_rate_excluding_seen", SQL_HIT_RATE_EX)
 def q_hit_rate_excluding_seen(spark, sf_dir):
-    items, cols = embedding_items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True)
+    items, cols, stats = _items(spark, sf_dir)
+    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True, item_stats=stats)
 
 
 @register("evaluate_sample", SQL_EVAL_SAMPLE)
 def q_evaluate_sample(spark, sf_dir):
     """Evaluate a seeded sample of EVAL_SAMPLE playlists (the sample is the feature)."""
-    items, cols = embedding_items(spark, sf_dir)
+    items, cols, stats = _items(spark, sf_dir)
     split = _split(spark, sf_dir)
     chosen = sample_n(split.select("pid").distinct(), EVAL_SAMPLE, ["pid"], SEED)
-    return evaluate(split.join(chosen, "pid", "left_semi"), items, cols)
+    return evaluate(split.join(chosen, "pid", "left_semi"), items, cols, item_stats=stats)
 
 
 @register("query_vectors", SQL_QUERY_VECTORS)
 def q_query_vectors(spark, sf_dir):
     """R3 in long form (pid, dim, value)."""
-    items, cols = embedding_items(spark, sf_dir)
-    qv = _qv(_train(_split(spark, sf_dir)), items, cols)
+    items, cols, stats = _items(spark, sf_dir)
+    qv = _qv(_train(_split(spark, sf_dir)), items, cols, stats)
     cells = F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.col(c).alias("value"))
                                 for i, c in enumerate(cols)]))
     return (qv.select("pid", cells.alias("c"))
@@ -219,12 +225,12 @@ def q_query_vectors(spark, sf_dir):
 @register("query_vector_table", SQL_QUERY_VECTOR_TABLE)
 def q_query_vector_table(spark, sf_dir):
     """One query vector per playlist with its train/test sizes, wide form."""
-    items, cols = embedding_items(spark, sf_dir)
+    items, cols, stats = _items(spark, sf_dir)
     split = _split(spark, sf_dir)
     sizes = split.groupBy("pid").agg(
         F.count(F.when(F.col("part") == "train", 1)).alias("n_train"),
         F.count(F.when(F.col("part") == "test", 1)).alias("n_test"))
-    qv = _qv(_train(split), items, cols)
+    qv = _qv(_train(split), items, cols, stats)
     return qv.join(sizes, "pid").select(
         "pid", "n_train", "n_test", "n_known", *[F.round(c, 6).alias(c) for c in cols])
 

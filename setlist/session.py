@@ -22,6 +22,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Wide feature vectors (one column per dimension) make constraint
+    # inference expensive at planning time; the library never relies on it.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -61,13 +64,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared folder.
+    """Cut lineage by writing ``df`` as a parquet table under the session's
+    shared checkpoint folder and reading it back.
 
-    Reliable (not local) checkpoints survive executor loss: later stages read
-    the written files instead of recomputing from the start.
+    Unlike an RDD checkpoint this is one job (no recomputation of the last
+    stage to write the files), keeps columnar pruning and gives AQE real
+    statistics; like it, the files survive executor loss, so later stages
+    re-read them instead of recomputing from the start.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "setlist-tables", uuid.uuid4().hex)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

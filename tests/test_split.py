@@ -40,12 +40,14 @@ def test_hash_rank_matches_window_with_hot_group(spark):
     rows += [(g, random.randrange(10**6)) for g in range(1, 400) for _ in range(random.randrange(1, 9))]
     rows = list(dict.fromkeys(rows))
     df = spark.createDataFrame(rows, "g long, k long")
-    got = hash_rank(df, ["g"], ["k"], seed=3).select("g", "k", "_rank", "_size")
+    got = hash_rank(df, ["g"], ["k"], seed=3, big_group_rows=1000).select("g", "k", "_rank", "_size")
+    plain = hash_rank(df, ["g"], ["k"], seed=3).select("g", "k", "_rank", "_size")
     h = F.md5(F.concat_ws("|", F.lit("3"), F.col("g").cast("string"), F.col("k").cast("string")))
     w = Window.partitionBy("g").orderBy(h, "k")
     want = df.select("g", "k", F.row_number().over(w).cast("long").alias("_rank"),
                      F.count("*").over(Window.partitionBy("g")).alias("_size"))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert plain.exceptAll(want).count() == 0 and want.exceptAll(plain).count() == 0
 
 
 def test_sample_n_exact_and_repeatable(spark):
