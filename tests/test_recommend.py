@@ -103,3 +103,20 @@ def test_exclude_never_returns_train(spark, items):
     recs = recommend(qv, items, 10, FEATS, exclude=train)
     assert recs.join(train, ["pid", "item"], "left_semi").count() == 0
     assert recs.filter(F.col("cosine") > 1.0 + 1e-9).count() == 0
+
+
+def test_query_vectors_hot_path_matches(spark):
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(50, 4))
+    cols = ["a", "b", "c", "d"]
+    items = spark.createDataFrame([(int(i), *map(float, X[i])) for i in range(50)],
+                                  "item long, a double, b double, c double, d double")
+    pairs = [(0, int(i)) for i in range(50)] + [(1, 3), (1, 4), (2, 7), (2, 7)]
+    pdf = spark.createDataFrame(pairs, "pid long, item long")
+    plain = {r["pid"]: r for r in query_vectors(pdf, items, cols).collect()}
+    salted = {r["pid"]: r for r in query_vectors(pdf, items, cols, hot_rows=5, salts=4).collect()}
+    assert set(plain) == set(salted) == {0, 1, 2}
+    for p, want in ((0, X.mean(axis=0)), (1, X[[3, 4]].mean(axis=0)), (2, X[7])):
+        assert np.allclose([salted[p][c] for c in cols], want)
+        assert np.allclose([plain[p][c] for c in cols], want)
+    assert salted[0]["n_known"] == 50 and salted[2]["n_known"] == 1
