@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from setlist.session import materialize
+
 # The eleven audio features the model uses, in the model's order.
 MUSIC_FEATURES = [
     "track_danceability",
@@ -241,6 +243,9 @@ def _broadcast_candidates(queries: DataFrame, items: DataFrame, feature_cols, qu
 def _tiled_candidates(queries: DataFrame, items: DataFrame, feature_cols, query_col,
                       n_items: int, tile_rows: int, qblock_rows: int):
     n_tiles = max(1, math.ceil(n_items / tile_rows))
+    # Written once: the block count needs the query count, and counting the
+    # lazy plan would run the whole query-vector aggregation twice.
+    queries = materialize(queries)
     n_queries = queries.count()
     n_blocks = max(1, math.ceil(n_queries / qblock_rows))
     fcols = list(feature_cols)

@@ -69,7 +69,7 @@ def q_playlist_items(spark, sf_dir):
 
 
 @register("playlist_sizes", """
-SELECT pid, sum(n) AS n_entries, count(*) AS n_distinct
+SELECT pid, CAST(sum(n) AS BIGINT) AS n_entries, count(*) AS n_distinct
 FROM (SELECT l_orderkey AS pid, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2) t
 GROUP BY pid""")
 def q_playlist_sizes(spark, sf_dir):
