@@ -84,3 +84,8 @@ def enrich(ids: DataFrame, id_col: str, fetch: Callable[[list], list], id_type:
         rec = enrich_batches(ids, id_col, fetch, ARTIST_RECORD, CALL_SIZE["artist"])
         return artist_features_frame(rec, time_pulled)
     raise ValueError(f"Improper ID type: {id_type}")
+
+
+from setlist._workers import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)

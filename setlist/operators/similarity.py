@@ -350,3 +350,8 @@ def cosine_expr(a, b):
     na = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, v: s + v * v))
     nb = F.sqrt(F.aggregate(b, F.lit(0.0), lambda s, v: s + v * v))
     return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot / (na * nb))
+
+
+from setlist._workers import ship_by_value  # noqa: E402
+
+ship_by_value(__name__)
