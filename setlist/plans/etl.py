@@ -352,8 +352,9 @@ WHERE rn = 1""")
 def q_dedup_lineitem_by_part(spark, sf_dir):
     """A3 on line items: one row per part, first by a total order."""
     li = table(spark, sf_dir, "lineitem")
-    first = dedup_first(li.select("l_partkey", *_LI_ORDER), ["l_partkey"], _LI_ORDER)
-    return first.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    keep = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"]
+    first = dedup_first(li.select("l_partkey", *_LI_ORDER), ["l_partkey"], _LI_ORDER, carry=keep)
+    return first.select("l_partkey", *keep)
 
 
 @register("first_seen_per_slice", f"""
