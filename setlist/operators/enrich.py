@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setlist.functions.flatten import conform, flatten_artist, prefix_columns
+from setlist.session import materialize
 from setlist.schemas import ARTIST_FEATURES, ARTIST_RECORD, TRACK_FEATURE_RECORD, TRACK_FEATURES
 
 # Ids per external call, by id kind, and ids per partition.
@@ -40,7 +41,9 @@ def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable[[list], list],
     ``fetch(list_of_ids) -> list[dict | None]``; ``None`` answers are
     dropped (P13).  Empty input gives empty output (D21).
     """
-    d = ids.select(F.col(id_col).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    # Written once: sizing the partitions needs the count, and the distinct
+    # over the source would otherwise run twice.
+    d = materialize(ids.select(F.col(id_col).alias("_id")).filter(F.col("_id").isNotNull()).distinct())
     n = d.count()
     if n == 0:
         return ids.sparkSession.createDataFrame([], record_schema)

@@ -120,3 +120,37 @@ def test_query_vectors_hot_path_matches(spark):
         assert np.allclose([salted[p][c] for c in cols], want)
         assert np.allclose([plain[p][c] for c in cols], want)
     assert salted[0]["n_known"] == 50 and salted[2]["n_known"] == 1
+
+
+@pytest.mark.parametrize("seed", [11, 12])
+def test_ties_and_per_row_n_match_brute_force(spark, seed):
+    """Integer vectors give many exact cosine ties; the cut must follow item id."""
+    rng = np.random.default_rng(seed)
+    n_items, n_q, d = 120, 40, 3
+    X = rng.integers(0, 3, size=(n_items, d)).astype(float)
+    Q = rng.integers(0, 3, size=(n_q, d)).astype(float)
+    ns = rng.integers(0, 9, size=n_q)
+    cols = ["a", "b", "c"]
+    items = spark.createDataFrame([(int(i), *map(float, X[i])) for i in range(n_items)],
+                                  "item long, a double, b double, c double")
+    qs = spark.createDataFrame([(int(p), *map(float, Q[p]), int(ns[p])) for p in range(n_q)],
+                               "pid long, a double, b double, c double, n long")
+    seen_rows = [(int(p), int(i)) for p in range(n_q) for i in rng.choice(n_items, 4, replace=False)]
+    seen = spark.createDataFrame(seen_rows, "pid long, item long")
+
+    def unit(m):
+        nr = np.linalg.norm(m, axis=1, keepdims=True)
+        return np.divide(m, nr, out=np.zeros_like(m), where=nr > 0)
+    S = unit(Q) @ unit(X).T
+    for excl in (None, seen):
+        want = {}
+        for p in range(n_q):
+            order = sorted(range(n_items), key=lambda i: (-round(S[p, i], 12), i))
+            if excl is not None:
+                order = [i for i in order if (p, i) not in set(seen_rows)]
+            for rank, i in enumerate(order[:ns[p]], 1):
+                want[(p, rank)] = i
+        for kw in (dict(strategy="broadcast"), dict(strategy="tiled", tile_rows=25, qblock_rows=8)):
+            got = {(r["pid"], r["rank"]): r["item"]
+                   for r in recommend(qs, items, "n", cols, exclude=excl, **kw).collect()}
+            assert got == want, (kw, excl is not None)
