@@ -124,8 +124,14 @@ def range_layout(df: DataFrame, key: str, partitions: int | None = None) -> Data
     return out.sortWithinPartitions(key)
 
 
-def inference_example(split_rows: DataFrame, group_col: str = "pid", rows: int = 3,
-                      n: int = 5) -> DataFrame:
-    """The first ``rows`` playlists' train lists renamed to ``track_ids`` with ``n``."""
-    return (split_rows.orderBy(group_col).limit(rows)
+def inference_example(split_long: DataFrame, group_col: str = "pid", rows: int = 3,
+                      n: int = 5, item_col: str = "item") -> DataFrame:
+    """The first ``rows`` playlists' train lists as ``track_ids`` with ``n``.
+
+    The playlist ids are chosen first (a partial top-k over distinct ids) and
+    only those playlists are collected into lists.
+    """
+    first = split_long.select(group_col).distinct().orderBy(group_col).limit(rows)
+    chosen = split_long.join(first, group_col, "left_semi")
+    return (split_lists(chosen, group_col, item_col)
             .select(group_col, F.col("train").alias("track_ids"), F.lit(n).alias("n")))

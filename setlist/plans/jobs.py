@@ -82,7 +82,7 @@ def prepare(playlists: DataFrame, track_features: DataFrame, seed=42, test_frac=
         "split_rows": rows,
         "track_features": select_track_features(track_features),
         "playlist_features": select_playlist_features(playlists),
-        "inference_example": inference_example(rows),
+        "inference_example": inference_example(split),
     }
 
 

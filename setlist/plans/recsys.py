@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from setlist.operators.evaluate import evaluate
 from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
-from setlist.operators.split import holdout_split, sample_n, split_lists, split_two_tables
+from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
                                   playlist_pairs)
@@ -248,6 +248,6 @@ def q_split_test_table(spark, sf_dir):
 @register("inference_example", SQL_INFERENCE_EXAMPLE)
 def q_inference_example(spark, sf_dir):
     """First three playlists' train lists as ``track_ids`` with n = 5."""
-    rows = split_lists(_split(spark, sf_dir)).orderBy("pid").limit(3)
-    return rows.select("pid", F.array_join(F.col("train").cast("array<string>"), ",").alias("track_ids"),
-                       F.lit(5).alias("n"))
+    rows = inference_example(_split(spark, sf_dir), "pid", 3, 5)
+    return rows.select("pid", F.array_join(F.col("track_ids").cast("array<string>"), ",").alias("track_ids"),
+                       "n")
