@@ -135,19 +135,21 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
         _, item_bytes = item_matrix_bytes(items, feature_cols)
     side = F.broadcast(items) if item_bytes <= broadcast_max_bytes else items
     sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_n"))
-    hot = sizes.filter(F.col("_n") > hot_rows).select(query_col, F.lit(True).alias("_hot"))
-    tagged = (ids.join(F.broadcast(hot), query_col, "left")
-              .withColumn("_hot", F.coalesce(F.col("_hot"), F.lit(False)))
-              .withColumn("_s", F.when(F.col("_hot"), F.pmod(F.xxhash64("item"), F.lit(salts)))
-                          .otherwise(F.lit(0)).cast("int"))
-              .repartition(query_col, "_s"))
-    partial = (tagged.join(side, "item", "inner")
-               .groupBy(query_col, "_s", "_hot")
-               .agg(*[F.sum(c).alias(c) for c in feature_cols], F.count(F.lit(1)).alias("n_known")))
-    cold = partial.filter(~F.col("_hot"))
-    warm = (partial.filter(F.col("_hot")).groupBy(query_col)
-            .agg(*[F.sum(c).alias(c) for c in feature_cols], F.sum("n_known").alias("n_known")))
-    merged = cold.select(query_col, *feature_cols, "n_known").unionByName(warm)
+    hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(query_col))
+    sums = [F.sum(c).alias(c) for c in feature_cols]
+    # Ordinary queries: narrow pairs partitioned by query, summed in place.
+    cold = (ids.join(hot, query_col, "left_anti").repartition(query_col)
+            .join(side, "item", "inner")
+            .groupBy(query_col).agg(*sums, F.count(F.lit(1)).alias("n_known")))
+    # Hot queries (empty list → AQE drops this branch): salted, then merged.
+    warm = (ids.join(hot, query_col, "inner")
+            .withColumn("_s", F.pmod(F.xxhash64("item"), F.lit(salts)))
+            .repartition(query_col, "_s")
+            .join(side, "item", "inner")
+            .groupBy(query_col, "_s").agg(*sums, F.count(F.lit(1)).alias("n_known"))
+            .groupBy(query_col).agg(*[F.sum(c).alias(c) for c in feature_cols],
+                                    F.sum("n_known").alias("n_known")))
+    merged = cold.unionByName(warm)
     return merged.select(query_col, *[(F.col(c) / F.col("n_known")).alias(c) for c in feature_cols],
                          F.col("n_known").cast("long").alias("n_known"))
 

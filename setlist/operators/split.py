@@ -60,14 +60,15 @@ def hash_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed=42
     cols = group_cols + key_cols
     src = df.dropna(subset=group_cols)
     sizes = src.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > big_group_rows).select(*group_cols, F.lit(True).alias("_big"))
-    tagged = src.join(F.broadcast(big), group_cols, "left")
+    big = F.broadcast(sizes.filter(F.col("_n") > big_group_rows).select(*group_cols))
     wg = Window.partitionBy(*group_cols)
-    cold = (tagged.filter(F.col("_big").isNull()).drop("_big")
+    # Anti/inner joins against the broadcast list: when no group is big, AQE
+    # sees an empty build side and drops the whole bucket branch at runtime.
+    cold = (src.join(big, group_cols, "left_anti")
             .withColumn("_rank", F.row_number().over(wg.orderBy(_seed_hash(seed, cols), *key_cols))
                         .cast("long"))
             .withColumn("_size", F.count(F.lit(1)).over(wg)))
-    hot = _bucket_rank(tagged.filter(F.col("_big")).drop("_big"), group_cols, key_cols, seed)
+    hot = _bucket_rank(src.join(big, group_cols, "inner"), group_cols, key_cols, seed)
     return cold.unionByName(hot)
 
 
