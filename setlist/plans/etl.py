@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setlist.functions.flatten import (conform, drop_sparse_columns, flatten_artist, flatten_columns,
+                                       flatten_entries,
                                        id_attribute_map, prefix_columns, rename_select)
 from setlist.functions.scalars import (chunk_array, epoch_to_timestamp, fill_by_type,
                                        parse_list_text, parse_timestamp, slice_dir_name,
@@ -576,3 +577,36 @@ def q_enrich_in_batches(spark, sf_dir):
     feats = track_features_frame(rec, PULL_TIME)
     return feats.select("track_spid", "track_uri", "track_type", "track_danceability", "track_energy",
                         "track_key", "track_mode", "track_tempo", _ntz(F.col("time_pulled")).alias("time_pulled"))
+
+
+# ---------------------------------------------------------- F9 long form ---
+_NESTED_LEAVES = [
+    ("order:key", "CAST(l_orderkey AS VARCHAR)"),
+    ("order:line", "CAST(l_linenumber AS VARCHAR)"),
+    ("track:id", "CAST(l_partkey AS VARCHAR)"),
+    ("track:artists:0:id", "CAST(l_suppkey AS VARCHAR)"),
+    ("track:artists:0:flag", "l_returnflag"),
+    ("track:artists:1:id", "CAST(l_suppkey + 1 AS VARCHAR)"),
+    ("track:artists:1:flag", "l_linestatus"),
+    ("tags:status", "l_linestatus"),
+]
+
+
+@register("flatten_entries", " UNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, '{k}' AS key, {v} AS value FROM lineitem" for k, v in _NESTED_LEAVES))
+def q_flatten_entries(spark, sf_dir):
+    """F9 (long form): every leaf of a nested record — structs, an array of
+    artist structs and a map — as (key, value) rows, all list elements kept."""
+    li = table(spark, sf_dir, "lineitem")
+    rec = li.select(
+        "l_orderkey", "l_linenumber",
+        F.struct(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line")).alias("order"),
+        F.struct(F.col("l_partkey").alias("id"),
+                 F.array(F.struct(F.col("l_suppkey").alias("id"), F.col("l_returnflag").alias("flag")),
+                         F.struct((F.col("l_suppkey") + 1).alias("id"), F.col("l_linestatus").alias("flag")))
+                 .alias("artists")).alias("track"),
+        F.create_map(F.lit("status"), F.col("l_linestatus")).alias("tags"))
+    ents = flatten_entries(rec.withColumn("_id", F.struct("l_orderkey", "l_linenumber"))
+                           .drop("l_orderkey", "l_linenumber"), "_id")
+    return ents.select(F.col("_id.l_orderkey").alias("l_orderkey"),
+                       F.col("_id.l_linenumber").alias("l_linenumber"), "key", "value")
