@@ -1,9 +1,9 @@
 """Item vectors, query vectors and cosine top-n.
 
 Data layout: one ``double`` column per feature.  The query vector of a
-playlist is then a plain ``groupBy(query).agg(avg(f) ...)`` (partial + final
-hash aggregation, so a playlist holding a third of all rows is combined
-map-side), and the scoring stage sees a dense ``float64`` matrix.
+playlist is then a hash aggregate of per-feature sums over narrow
+(query, item) pairs partitioned by query (hot queries salted, see
+:func:`query_vectors`), and the scoring stage sees a dense ``float64`` matrix.
 
 Scoring never emits all (query, item) pairs.  Each task multiplies a block of
 query vectors with an item matrix and keeps only the top ``k`` per query:
@@ -121,9 +121,9 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
     feature (``item_vectors`` drops such rows), so one count serves every mean.
 
     Plan: only the narrow ``(query, item)`` pairs are shuffled, by query;
-    the item matrix is joined inside the partition (broadcast when Catalyst
-    /AQE see it is small) and summed there, so the wide per-feature rows are
-    never shuffled at pair cardinality.  Queries with more than ``hot_rows``
+    the item matrix is joined inside the partition (broadcast after its size
+    is checked against ``broadcast_max_bytes``) and summed there, so the wide
+    per-feature rows are never shuffled at pair cardinality.  Queries with more than ``hot_rows``
     distinct items — at most ``pairs / hot_rows`` of them, so the list is
     small by construction — are salted over ``salts`` partitions and merged
     by a second, tiny aggregation; all other queries finish in one pass.

@@ -8,7 +8,6 @@ part, artist = supplier, slice = ship year.  Each query reads whole tables;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
