@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
+from setlist.session import materialize
 
 
 def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFrame:
@@ -40,7 +41,9 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
     test = s.filter(F.col("part") == "test").drop("part")
     if item_stats is None:
         item_stats = item_matrix_bytes(items, feature_cols)
-    qv = query_vectors(train, items, feature_cols, query_col, item_bytes=item_stats[1])
+    # Used twice below (scoring input and ``n_known``): written once so the
+    # aggregation over all train pairs is not run twice.
+    qv = materialize(query_vectors(train, items, feature_cols, query_col, item_bytes=item_stats[1]))
     n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n_req"))
     queries = qv.join(n_test, query_col, "inner")
     recs = recommend(queries, items, "n_req", feature_cols, query_col=query_col,
