@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
-from setlist.session import materialize
+from setlist.operators.similarity import item_matrix_bytes, recommend_from_pairs
 
 
 def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFrame:
@@ -41,18 +40,16 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
     test = s.filter(F.col("part") == "test").drop("part")
     if item_stats is None:
         item_stats = item_matrix_bytes(items, feature_cols)
-    # Used twice below (scoring input and ``n_known``): written once so the
-    # aggregation over all train pairs is not run twice.
-    qv = materialize(query_vectors(train, items, feature_cols, query_col, item_bytes=item_stats[1]))
-    n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n_req"))
-    queries = qv.join(n_test, query_col, "inner")
-    recs = recommend(queries, items, "n_req", feature_cols, query_col=query_col,
-                     exclude=train if exclude_seen else None, item_stats=item_stats,
-                     **recommend_args)
+    n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n"))
+    recs = recommend_from_pairs(train, items, n_test, feature_cols, query_col=query_col,
+                                exclude_seen=exclude_seen, item_stats=item_stats, **recommend_args)
+    # Known train items per playlist: a narrow id-only join, no feature columns.
+    known = (train.distinct().join(items.select("item"), "item")
+             .groupBy(query_col).agg(F.count(F.lit(1)).alias("n_known")))
     scores = hit_rate(recs, test, query_col)
     playlists = s.select(query_col).distinct()
     return (playlists.join(scores, query_col, "left")
-            .join(qv.select(query_col, "n_known"), query_col, "left")
+            .join(known, query_col, "left")
             .select(query_col,
                     F.coalesce("n_test", F.lit(0)).cast("long").alias("n_test"),
                     F.coalesce("n_known", F.lit(0)).cast("long").alias("n_known"),

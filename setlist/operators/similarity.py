@@ -52,6 +52,7 @@ MUSIC_FEATURES = [
 DEFAULT_BROADCAST_MAX_BYTES = 64 << 20
 # Bound on the score matrix one Python worker holds at a time.
 SCORE_BLOCK_BYTES = 32 << 20
+SCORE_DECIMALS = 12
 
 
 # --------------------------------------------------------------------- R2 ---
@@ -104,6 +105,16 @@ def item_matrix_bytes(items: DataFrame, feature_cols: list[str]) -> tuple[int, i
 
 
 # --------------------------------------------------------------------- R3 ---
+def _compute_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle whose *consumer* is compute-heavy (a wide
+    aggregate, then the scoring kernel): at least one per core.  An explicit
+    count keeps AQE from coalescing a small-in-bytes narrow shuffle (pairs)
+    down to a few tasks that then do all the arithmetic."""
+    spark = df.sparkSession
+    return max(spark.sparkContext.defaultParallelism,
+               int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 HOT_QUERY_ROWS = 1_000_000
 HOT_SALTS = 64
 
@@ -138,7 +149,7 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
     hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(query_col))
     sums = [F.sum(c).alias(c) for c in feature_cols]
     # Ordinary queries: narrow pairs partitioned by query, summed in place.
-    cold = (ids.join(hot, query_col, "left_anti").repartition(query_col)
+    cold = (ids.join(hot, query_col, "left_anti").repartition(_compute_partitions(ids), query_col)
             .join(side, "item", "inner")
             .groupBy(query_col).agg(*sums, F.count(F.lit(1)).alias("n_known")))
     # Hot queries (empty list → AQE drops this branch): salted, then merged.
@@ -164,12 +175,17 @@ def _normalise(m: np.ndarray) -> np.ndarray:
 
 
 def _topk_rows(scores: np.ndarray, ks: np.ndarray):
-    """Per-row top-k of a score block, ties by column (= item id order).
+    """Per-row top-k of a score block (modified in place), ties by column
+    (= item id order).
 
     Returns ``(row, col, score, rank)`` arrays.  Every value tied with the
     k-th largest is kept before the final cut so the tie-break is exact.
     """
     b, t = scores.shape
+    # Rank on 12-decimal scores: mathematically tied candidates (e.g. parallel
+    # vectors) then tie exactly and fall back to item id, whatever order the
+    # sums were formed in.  Real gaps are many orders of magnitude larger.
+    np.round(scores, SCORE_DECIMALS, out=scores)
     kmax = int(min(ks.max(initial=0), t))
     if kmax <= 0 or t == 0:
         empty = np.zeros(0, dtype=np.int64)
@@ -335,6 +351,164 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
             .select(query_col, "rank", "item", "cosine"))
 
 
+# ------------------------------------------------------ R3 + R4 fused ---
+def _item_broadcast(items: DataFrame, feature_cols: list[str]):
+    """Broadcast of the (size-checked) item matrix for the fused kernel:
+    candidate ids sorted (copies kept), their unit vectors, and per distinct
+    id the summed raw vector and number of copies (for query means)."""
+    pdf = items.select("item", *feature_cols).toPandas()
+    pdf = pdf.sort_values("item", kind="stable").reset_index(drop=True)
+    ids = pdf["item"].to_numpy()
+    raw = pdf[feature_cols].to_numpy(dtype=np.float64)
+    uniq, first, copies = np.unique(ids, return_index=True, return_counts=True)
+    sums = np.add.reduceat(raw, first, axis=0) if len(ids) else raw[:0]
+    return items.sparkSession.sparkContext.broadcast(
+        (ids, _normalise(raw), uniq, sums, copies.astype(np.float64)))
+
+
+def _fused_scores(chunk: pd.DataFrame, bc_value, query_col: str, exclude_seen: bool) -> pd.DataFrame:
+    """Mean vector of every query's known items (rows of one query are
+    contiguous), then its top-``_n`` candidates by cosine; the query's own
+    items are masked when ``exclude_seen``."""
+    cand_ids, xn, uniq, sums, copies = bc_value
+    q = chunk[query_col].to_numpy()
+    it = chunk["item"].to_numpy()
+    nreq = chunk["_n"].to_numpy(np.int64)
+    starts = np.r_[0, np.flatnonzero(q[1:] != q[:-1]) + 1]
+    sizes = np.diff(np.r_[starts, len(q)])
+    gid = np.repeat(np.arange(len(starts)), sizes)
+    pos = np.searchsorted(uniq, it)
+    posc = np.minimum(pos, max(len(uniq) - 1, 0))
+    valid = (pos < len(uniq)) & (uniq[posc] == it) if len(uniq) else np.zeros(len(it), bool)
+    g = gid[valid]
+    total = np.zeros((len(starts), xn.shape[1]))
+    np.add.at(total, g, sums[posc[valid]])
+    known = np.bincount(g, weights=copies[posc[valid]], minlength=len(starts))
+    ks = nreq[starts]
+    keep = (known > 0) & (ks > 0)
+    row_of = np.full(len(starts), -1)
+    row_of[keep] = np.arange(int(keep.sum()))
+    qmat = total[keep] / known[keep, None]
+    qids, ks = q[starts][keep], ks[keep]
+    if exclude_seen and len(cand_ids):
+        lo = np.searchsorted(cand_ids, it, "left")
+        hi = np.searchsorted(cand_ids, it, "right")
+        seen_row = row_of[gid]
+        m = (seen_row >= 0) & (hi > lo)
+        seen_row, lo, hi = seen_row[m], lo[m], hi[m]
+    qn = _normalise(qmat)
+    t = max(xn.shape[0], 1)
+    block = max(1, SCORE_BLOCK_BYTES // (8 * t))
+    parts = []
+    for s in range(0, qn.shape[0], block):
+        e = min(s + block, qn.shape[0])
+        sc = qn[s:e] @ xn.T
+        if exclude_seen and len(cand_ids):
+            sel = (seen_row >= s) & (seen_row < e)
+            r, a, b = seen_row[sel] - s, lo[sel], hi[sel]
+            sc[r, a] = -np.inf
+            for j in np.flatnonzero(b - a > 1):          # duplicated candidate ids
+                sc[r[j], a[j]:b[j]] = -np.inf
+        rr, cc, vv, rk = _topk_rows(sc, ks[s:e])
+        fin = np.isfinite(vv)
+        if fin.any():
+            parts.append(pd.DataFrame({query_col: qids[s:e][rr[fin]], "rank": rk[fin],
+                                       "item": cand_ids[cc[fin]], "cosine": vv[fin]}))
+    if not parts:
+        return pd.DataFrame({query_col: q[:0], "rank": np.zeros(0, np.int64),
+                             "item": cand_ids[:0], "cosine": np.zeros(0)})
+    return pd.concat(parts, ignore_index=True)
+
+
+def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: list[str], *,
+                         query_col: str = "pid", item_col: str = "item",
+                         exclude_seen: bool = False, pairs_distinct: bool = False,
+                         item_stats: tuple[int, int] | None = None,
+                         broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                         hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS,
+                         hot_check: str = "lazy") -> DataFrame:
+    """R3 + R4 in one pass: each query's mean vector over its distinct known
+    items, then its top-``n`` items by cosine (``exclude_seen``: never its own
+    items).  Same result as :func:`query_vectors` + :func:`recommend`.
+
+    ``n`` is an int or a DataFrame ``(query_col, n)`` (per-query n, R5/R7).
+
+    When the item matrix passes the size check, only narrow ``(query, item,
+    n)`` rows are shuffled (by query, sorted inside the partition) and one
+    Arrow-batched kernel forms each mean from the broadcast matrix and scores
+    it: no per-feature row exists in the JVM.  Queries above ``hot_rows``
+    items (a bounded broadcast list; AQE drops the branch when it is empty)
+    and catalogues above ``broadcast_max_bytes`` use the salted / tiled
+    operators instead.  ``hot_check="eager"`` (for inputs already written
+    to storage, where one columnar pass over the query column is cheap)
+    collects the hot list first — at most ``rows / hot_rows`` ids — and
+    leaves the fallback out of the plan entirely when it is empty.
+    """
+    n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
+    ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
+        F.col(query_col).isNotNull())
+    if not pairs_distinct:
+        ids = ids.distinct()
+    if isinstance(n, DataFrame):
+        nreq = n.select(query_col, F.col("n").cast("long").alias("_n"))
+    else:
+        nreq = None
+
+    def classic(sub: DataFrame) -> DataFrame:
+        qv = query_vectors(sub, items, feature_cols, query_col, pairs_distinct=True,
+                           item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
+                           hot_rows=hot_rows, salts=salts)
+        ncol = int(n) if nreq is None else "_n"
+        if nreq is not None:
+            qv = qv.join(nreq, query_col)
+        return recommend(qv, items, ncol, feature_cols, query_col=query_col,
+                         exclude=sub if exclude_seen else None, item_stats=(n_items, item_bytes),
+                         broadcast_max_bytes=broadcast_max_bytes)
+
+    if item_bytes > broadcast_max_bytes:
+        return classic(ids)
+
+    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_c"))
+    hot = F.broadcast(sizes.filter(F.col("_c") > hot_rows).select(query_col))
+    if hot_check == "eager":
+        hot_ids = [r[0] for r in sizes.filter(F.col("_c") > hot_rows).select(query_col).collect()]
+        hot = None if not hot_ids else F.broadcast(
+            ids.sparkSession.createDataFrame([(h,) for h in hot_ids],
+                                             T.StructType([ids.schema[query_col]])))
+    cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
+    cold = cold.repartition(_compute_partitions(ids), query_col)
+    cold = cold.join(nreq, query_col) if nreq is not None else cold.withColumn("_n", F.lit(int(n)).cast("long"))
+    cold = cold.filter(F.col("_n") > 0).sortWithinPartitions(query_col)
+    bc = _item_broadcast(items, feature_cols)
+    schema = T.StructType([T.StructField(query_col, pairs.schema[query_col].dataType),
+                           T.StructField("rank", T.LongType()),
+                           T.StructField("item", items.schema["item"].dataType),
+                           T.StructField("cosine", T.DoubleType())])
+
+    def run(batches):
+        value = bc.value
+        carry = None
+        for b in batches:
+            if carry is not None and len(carry):
+                b = pd.concat([carry, b], ignore_index=True)
+            if len(b) == 0:
+                continue
+            q = b[query_col].to_numpy()
+            other = np.flatnonzero(q != q[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0      # the last query may continue
+            carry = b.iloc[cut:]
+            if cut:
+                yield _fused_scores(b.iloc[:cut], value, query_col, exclude_seen)
+        if carry is not None and len(carry):
+            yield _fused_scores(carry, value, query_col, exclude_seen)
+
+    fused = cold.select(query_col, "item", "_n").mapInPandas(run, schema)
+    if hot is None:
+        return fused
+    warm = classic(ids.join(hot, query_col, "inner"))
+    return fused.unionByName(warm.select(query_col, "rank", "item", "cosine"))
+
+
 def as_lists(recs: DataFrame, query_col: str = "pid") -> DataFrame:
     """One ordered list of item ids per query (the reference's prediction shape).
 

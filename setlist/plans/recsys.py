@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setlist.operators.evaluate import evaluate
-from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend
+from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend_from_pairs
 from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
@@ -170,36 +170,41 @@ def q_holdout_split(spark, sf_dir):
 @register("cosine_topn", SQL_COSINE_TOPN)
 def q_cosine_topn(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
-    qv = _qv(_train(_split(spark, sf_dir)), items, cols, stats)
-    return _rounded(recommend(qv, items, TOP_N, cols, item_stats=stats))
+    train = _train(_split(spark, sf_dir))
+    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True, item_stats=stats,
+                                         hot_check="eager"))
 
 
 @register("cosine_topn_excluding_seen", SQL_COSINE_TOPN_EX)
 def q_cosine_topn_excluding_seen(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
     train = _train(_split(spark, sf_dir))
-    qv = _qv(train, items, cols, stats)
-    return _rounded(recommend(qv, items, TOP_N, cols, exclude=train, item_stats=stats))
+    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True,
+                                         exclude_seen=True, item_stats=stats, hot_check="eager"))
 
 
 @register("recommend_batch_variable_n", SQL_VARIABLE_N)
 def q_recommend_batch_variable_n(spark, sf_dir):
     """Per-row n — each playlist asks for as many items as it has known train items."""
     items, cols, stats = _items(spark, sf_dir)
-    qv = _qv(_train(_split(spark, sf_dir)), items, cols, stats)
-    return _rounded(recommend(qv, items, "n_known", cols, item_stats=stats))
+    train = _train(_split(spark, sf_dir))
+    n_known = (train.join(items.select("item"), "item")
+               .groupBy("pid").agg(F.count(F.lit(1)).alias("n")))
+    return _rounded(recommend_from_pairs(train, items, n_known, cols, pairs_distinct=True,
+                                         item_stats=stats, hot_check="eager"))
 
 
 @register("hit_rate", SQL_HIT_RATE)
 def q_hit_rate(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols, item_stats=stats)
+    return evaluate(_split(spark, sf_dir), items, cols, item_stats=stats, hot_check="eager")
 
 
 @register("hit_rate_excluding_seen", SQL_HIT_RATE_EX)
 def q_hit_rate_excluding_seen(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True, item_stats=stats)
+    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True, item_stats=stats,
+                    hot_check="eager")
 
 
 @register("evaluate_sample", SQL_EVAL_SAMPLE)

@@ -154,3 +154,38 @@ def test_ties_and_per_row_n_match_brute_force(spark, seed):
             got = {(r["pid"], r["rank"]): r["item"]
                    for r in recommend(qs, items, "n", cols, exclude=excl, **kw).collect()}
             assert got == want, (kw, excl is not None)
+
+
+@pytest.mark.parametrize("variant", ["plain", "hot", "hot_eager", "eager", "large_catalogue", "small_batches"])
+def test_fused_matches_two_step(spark, variant):
+    from setlist.operators.similarity import recommend_from_pairs
+    rng = np.random.default_rng(21)
+    n_items, d = 80, 4
+    X = rng.integers(-2, 3, size=(n_items, d)).astype(float)
+    cols = ["a", "b", "c", "d"]
+    rows = [(int(i), *map(float, X[i])) for i in range(n_items)] + [(5, 1.0, 1.0, 1.0, 1.0)]  # id 5 twice
+    items = spark.createDataFrame(rows, "item long, a double, b double, c double, d double")
+    pairs = [(int(p), int(i)) for p in range(60) for i in rng.choice(n_items + 10, rng.integers(1, 12))]
+    pairs += [(999, int(i)) for i in range(40)]                       # one larger playlist
+    pdf = spark.createDataFrame(pairs, "pid long, item long")
+    nreq = spark.createDataFrame([(p, int(rng.integers(0, 7))) for p in list(range(60)) + [999]],
+                                 "pid long, n long")
+    kw = {"plain": {}, "hot": dict(hot_rows=20, salts=3), "hot_eager": dict(hot_rows=20, salts=3, hot_check="eager"),
+          "eager": dict(hot_check="eager"),
+          "large_catalogue": dict(broadcast_max_bytes=500), "small_batches": {}}[variant]
+    if variant == "small_batches":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for excl in (False, True):
+            for n in (4, nreq):
+                got = {(r["pid"], r["rank"]): (r["item"], round(r["cosine"], 9)) for r in
+                       recommend_from_pairs(pdf, items, n, cols, exclude_seen=excl, **kw).collect()}
+                qv = query_vectors(pdf, items, cols)
+                if isinstance(n, int):
+                    ref = recommend(qv, items, n, cols, exclude=pdf if excl else None)
+                else:
+                    ref = recommend(qv.join(n, "pid"), items, "n", cols, exclude=pdf if excl else None)
+                want = {(r["pid"], r["rank"]): (r["item"], round(r["cosine"], 9)) for r in ref.collect()}
+                assert got == want, (variant, excl, isinstance(n, int))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
