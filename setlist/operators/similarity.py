@@ -476,8 +476,16 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
             ids.sparkSession.createDataFrame([(h,) for h in hot_ids],
                                              T.StructType([ids.schema[query_col]])))
     cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
-    cold = cold.repartition(_compute_partitions(ids), query_col)
-    cold = cold.join(nreq, query_col) if nreq is not None else cold.withColumn("_n", F.lit(int(n)).cast("long"))
+    parts = _compute_partitions(ids)
+    cold = cold.repartition(parts, query_col)
+    if nreq is not None:
+        # A co-partitioned sort-merge join keeps the pairs' pinned partitioning
+        # (and sorts by query).  Left to AQE, the small per-query side can be
+        # coalesced to one partition and the pairs broadcast into it, which
+        # would run the whole kernel in one task.
+        cold = cold.hint("merge").join(nreq, query_col)
+    else:
+        cold = cold.withColumn("_n", F.lit(int(n)).cast("long"))
     cold = cold.filter(F.col("_n") > 0).sortWithinPartitions(query_col)
     bc = _item_broadcast(items, feature_cols)
     schema = T.StructType([T.StructField(query_col, pairs.schema[query_col].dataType),
