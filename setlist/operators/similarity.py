@@ -431,7 +431,8 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     items, then its top-``n`` items by cosine (``exclude_seen``: never its own
     items).  Same result as :func:`query_vectors` + :func:`recommend`.
 
-    ``n`` is an int or a DataFrame ``(query_col, n)`` (per-query n, R5/R7).
+    ``n`` is an int or a DataFrame ``(query_col, n)`` (per-query n, R5/R7;
+    duplicate rows for a query collapse to the largest n).
 
     When the item matrix passes the size check, only narrow ``(query, item,
     n)`` rows are shuffled (by query, sorted inside the partition) and one
@@ -450,7 +451,8 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     if not pairs_distinct:
         ids = ids.distinct()
     if isinstance(n, DataFrame):
-        nreq = n.select(query_col, F.col("n").cast("long").alias("_n"))
+        # One n per query (a duplicate row would duplicate the query's pairs).
+        nreq = n.groupBy(query_col).agg(F.max(F.col("n").cast("long")).alias("_n"))
     else:
         nreq = None
 
