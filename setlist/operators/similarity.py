@@ -519,6 +519,91 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     return fused.unionByName(warm.select(query_col, "rank", "item", "cosine"))
 
 
+def _group_means(chunk: pd.DataFrame, bc_value, query_col: str):
+    """Per contiguous query group: summed vectors of its known items and the
+    number of item rows behind them (copies of a duplicated id counted)."""
+    _, xn, uniq, sums, copies = bc_value
+    q = chunk[query_col].to_numpy()
+    it = chunk["item"].to_numpy()
+    starts = np.r_[0, np.flatnonzero(q[1:] != q[:-1]) + 1]
+    gid = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(q)]))
+    pos = np.searchsorted(uniq, it)
+    posc = np.minimum(pos, max(len(uniq) - 1, 0))
+    valid = (pos < len(uniq)) & (uniq[posc] == it) if len(uniq) else np.zeros(len(it), bool)
+    total = np.zeros((len(starts), xn.shape[1]))
+    np.add.at(total, gid[valid], sums[posc[valid]])
+    known = np.bincount(gid[valid], weights=copies[posc[valid]], minlength=len(starts))
+    return q[starts], total, known
+
+
+def _sorted_batches(batches, query_col: str):
+    """Re-cut Arrow batches of query-sorted rows so no query spans two chunks."""
+    carry = None
+    for b in batches:
+        if carry is not None and len(carry):
+            b = pd.concat([carry, b], ignore_index=True)
+        if len(b) == 0:
+            continue
+        q = b[query_col].to_numpy()
+        other = np.flatnonzero(q != q[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        carry = b.iloc[cut:]
+        if cut:
+            yield b.iloc[:cut]
+    if carry is not None and len(carry):
+        yield carry
+
+
+def query_means_from_pairs(pairs: DataFrame, items: DataFrame, feature_cols: list[str], *,
+                           query_col: str = "pid", item_col: str = "item",
+                           pairs_distinct: bool = False,
+                           item_stats: tuple[int, int] | None = None,
+                           broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+                           hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS) -> DataFrame:
+    """:func:`query_vectors` computed like :func:`recommend_from_pairs`: narrow
+    pairs sorted by query inside the partition, means formed in an Arrow
+    kernel from the size-checked broadcast matrix.  Hot queries (a bounded,
+    eagerly collected list) and large catalogues use :func:`query_vectors`."""
+    n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
+    ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
+        F.col(query_col).isNotNull())
+    if not pairs_distinct:
+        ids = ids.distinct()
+    if item_bytes > broadcast_max_bytes:
+        return query_vectors(ids, items, feature_cols, query_col, pairs_distinct=True,
+                             item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
+                             hot_rows=hot_rows, salts=salts)
+    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_c"))
+    hot_ids = [r[0] for r in sizes.filter(F.col("_c") > hot_rows).select(query_col).collect()]
+    hot = None if not hot_ids else F.broadcast(
+        ids.sparkSession.createDataFrame([(h,) for h in hot_ids], T.StructType([ids.schema[query_col]])))
+    cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
+    cold = cold.repartition(_compute_partitions(ids), query_col).sortWithinPartitions(query_col)
+    bc = _item_broadcast(items, feature_cols)
+    fcols = list(feature_cols)
+    schema = T.StructType([T.StructField(query_col, pairs.schema[query_col].dataType)]
+                          + [T.StructField(c, T.DoubleType()) for c in fcols]
+                          + [T.StructField("n_known", T.LongType())])
+
+    def run(batches):
+        value = bc.value
+        for chunk in _sorted_batches(batches, query_col):
+            qids, total, known = _group_means(chunk, value, query_col)
+            keep = known > 0
+            out = pd.DataFrame(total[keep] / known[keep, None], columns=fcols)
+            out.insert(0, query_col, qids[keep])
+            out["n_known"] = known[keep].astype(np.int64)
+            yield out
+
+    fused = cold.select(query_col, "item").mapInPandas(run, schema)
+    if hot is None:
+        return fused
+    warm = query_vectors(ids.join(hot, query_col, "inner"), items, feature_cols, query_col,
+                         pairs_distinct=True, item_bytes=item_bytes,
+                         broadcast_max_bytes=broadcast_max_bytes, hot_rows=hot_rows, salts=salts)
+    return fused.unionByName(warm)
+
+
 def as_lists(recs: DataFrame, query_col: str = "pid") -> DataFrame:
     """One ordered list of item ids per query (the reference's prediction shape).
 

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setlist.operators.evaluate import evaluate
-from setlist.operators.similarity import item_matrix_bytes, query_vectors, recommend_from_pairs
+from setlist.operators.similarity import (item_matrix_bytes, query_means_from_pairs,
+                                          recommend_from_pairs)
 from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
@@ -153,7 +154,7 @@ def _train(split: DataFrame) -> DataFrame:
 
 def _qv(train: DataFrame, items: DataFrame, cols, stats) -> DataFrame:
     """Query vectors of split train pairs (already distinct by construction)."""
-    return query_vectors(train, items, cols, pairs_distinct=True, item_bytes=stats[1])
+    return query_means_from_pairs(train, items, cols, pairs_distinct=True, item_stats=stats)
 
 
 def _items(spark, sf_dir):

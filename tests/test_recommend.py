@@ -189,3 +189,28 @@ def test_fused_matches_two_step(spark, variant):
                 assert got == want, (variant, excl, isinstance(n, int))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("variant", ["plain", "hot", "large_catalogue", "small_batches"])
+def test_fused_means_match_query_vectors(spark, variant):
+    from setlist.operators.similarity import query_means_from_pairs
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(60, 3))
+    items = spark.createDataFrame([(int(i), *map(float, X[i])) for i in range(60)] + [(4, 1.0, 2.0, 3.0)],
+                                  "item long, a double, b double, c double")
+    pairs = [(int(p), int(i)) for p in range(50) for i in rng.choice(70, rng.integers(1, 9))]
+    pairs += [(777, int(i)) for i in range(45)]
+    pdf = spark.createDataFrame(pairs, "pid long, item long")
+    kw = {"plain": {}, "hot": dict(hot_rows=20, salts=3), "large_catalogue": dict(broadcast_max_bytes=100),
+          "small_batches": {}}[variant]
+    if variant == "small_batches":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = {r["pid"]: r for r in query_means_from_pairs(pdf, items, ["a", "b", "c"], **kw).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {r["pid"]: r for r in query_vectors(pdf, items, ["a", "b", "c"]).collect()}
+    assert set(got) == set(want)
+    for p in want:
+        assert got[p]["n_known"] == want[p]["n_known"]
+        assert np.allclose([got[p][c] for c in "abc"], [want[p][c] for c in "abc"])
