@@ -19,7 +19,7 @@ from setlist.operators.dedup import dedup_first
 from setlist.operators.enrich import enrich
 from setlist.operators.evaluate import evaluate
 from setlist.operators.lookup import join_on, new_rows, remaining_ids
-from setlist.operators.similarity import MUSIC_FEATURES, item_vectors, query_vectors, recommend
+from setlist.operators.similarity import MUSIC_FEATURES, item_vectors, recommend_from_pairs
 from setlist.operators.split import holdout_split, inference_example, split_lists
 from setlist.operators.upsert import write_upsert
 from setlist.schemas import PLAYLIST_FEATURE_COLUMNS, TRACK_FEATURES
@@ -131,9 +131,8 @@ def batch_recommend(requests: DataFrame, track_features: DataFrame, key: str = "
     ids = parse_list_text("track_ids") if ids_col.typeName() == "string" else F.col("track_ids")
     long = requests.select(key, F.explode(ids).alias("item"))
     items = item_vectors(track_features, "track_spid", list(features))
-    qv = query_vectors(long, items, list(features), key).join(requests.select(key, "n"), key)
-    return recommend(qv, items, "n", list(features), query_col=key,
-                     exclude=long if exclude_seen else None)
+    return recommend_from_pairs(long, items, requests.select(key, "n"), list(features),
+                                query_col=key, exclude_seen=exclude_seen)
 
 
 # --------------------------------------------------------------------- W6 ---
