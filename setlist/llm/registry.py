@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["line_dedup", "quality"]
+import corpus_pipeline
+
+_MODULES = ["packing", "line_dedup", "mixing", "simhash", "quality"]
 
 
 def _collect(attr: str) -> dict:
@@ -15,8 +17,8 @@ def _collect(attr: str) -> dict:
 
 
 def all_queries() -> dict:
-    return _collect("QUERIES")
+    return _collect("QUERIES") | {"pipeline": corpus_pipeline.run}
 
 
 def all_oracles() -> dict:
-    return _collect("ORACLES")
+    return _collect("ORACLES") | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
