@@ -6,7 +6,8 @@ import importlib
 
 import corpus_pipeline
 
-_MODULES = ["packing", "line_dedup", "mixing", "simhash", "quality"]
+_MODULES = ["packing", "token_counts", "neighbours", "wrappers", "line_dedup", "sharding", "mixing", "simhash", "quality",
+            "suffix_dedup"]
 
 
 def _collect(attr: str) -> dict:
