@@ -8,12 +8,12 @@ and agree on ``min_words - WINDOW + 1`` words from there (the stem).
 1. Tasks emit (stem hash, document, position) for each kept suffix.
 2. Stems that occur once are dropped (counted with map-side sums).
 3. For the others the words that follow the stem and those before it are read
-   once more from the texts; suffixes are sorted by stem and following words,
-   which is their order in the suffix array up to the order of stems, and each
-   is compared with its two neighbours there: words in common to the right,
-   then to the left.  Stems shared by more than ``CROWD`` suffixes are sorted
-   in parts of equal following words, so no sort holds a crowd; each part's
-   members are also compared with the stem's first suffix.
+   once more from the texts; suffixes are range-partitioned and sorted by stem
+   and following words, which is their order in the suffix array up to the
+   order of stems, and each is compared with its two neighbours there: words
+   in common to the right, then to the left.  The order is total, so a stem
+   that a third of all documents hold spreads over many partitions; the first
+   and last suffix of each partition meet in a table of that size.
 4. A match of ``min_words`` or more marks its words; marks that touch are one
    passage.
 
@@ -35,11 +35,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from setlist._workers import ship_by_value
-from setlist.llm.common import materialize, small_side, table
+from setlist.llm.common import materialize, small_side, spread, table
 
 ship_by_value(__name__)
 
@@ -48,8 +49,6 @@ MIN_WORDS = 50
 GRAM = 6
 WINDOW = 16
 REACH = 24
-#: Suffixes that one sort may hold.
-CROWD = 4096
 #: Bytes of text hashed at once (a longer text is a slab of its own).
 SLAB = 2 << 20
 
@@ -154,26 +153,63 @@ def _sides(batches: Iterator[pa.RecordBatch], stem: int) -> Iterator[pa.RecordBa
                 names=["h", "k", "t", "p", "r", "l"])
 
 
-def _common(a: pa.Array, b: pa.Array) -> np.ndarray:
-    """Leading words in which two columns agree; a missing side agrees in none."""
-    blank = bytes(4 * REACH)
-    x, y = (np.frombuffer(b"".join(v if v is not None else blank for v in c.to_pylist()), dtype=">u4").reshape(-1, REACH) for c in (a, b))
-    return np.where((x == y) & (x != 0), 1, 0).cumprod(axis=1).sum(axis=1)
+def _words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u4").reshape(-1, REACH)
 
 
-def _matches(batches: Iterator[pa.RecordBatch], stem: int, least: int) -> Iterator[pa.RecordBatch]:
-    names = ["k", "t", "p", "other", "a", "b"]
+def _common(words: np.ndarray) -> np.ndarray:
+    """Leading words in which each row agrees with the next."""
+    return ((words[:-1] == words[1:]) & (words[1:] != 0)).cumprod(axis=1).sum(axis=1)
+
+
+def _pairs(rows: pa.RecordBatch, stem: int, least: int) -> pa.RecordBatch:
+    """The matches of sorted suffixes with their neighbours, seen from both sides."""
+    col = {n: rows.column(i) for i, n in enumerate(rows.schema.names)}
+    h, at = np.asarray(col["h"]), np.asarray(col["p"]).astype(np.int64)
+    right, left = _common(_words(col["r"])), _common(_words(col["l"]))
+    good = np.flatnonzero((h[:-1] == h[1:]) & (left + stem + right >= least))
+    own, other = np.concatenate([good, good + 1]), np.concatenate([good + 1, good])
+    here, there = pa.array(own), pa.array(other)
+    return pa.RecordBatch.from_arrays(
+        [col["k"].take(here), col["t"].take(here), col["k"].take(there),
+         pa.array(at[own] - np.tile(left[good], 2)), pa.array(at[own] + stem + np.tile(right[good], 2))], names=["k", "t", "other", "a", "b"])
+
+
+_END = ["h", "k", "t", "p", "r", "l"]
+_FOUND = "k long, t long, other long, a long, b long"
+_ENDS = ", part int, last boolean, e struct<h long, k long, t long, p int, r binary, l binary>"
+
+
+def _sorted_matches(batches: Iterator[pa.RecordBatch], stem: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Matches inside a sorted partition, and its first and last suffix."""
+    part, held, first = TaskContext.get().partitionId(), None, None
+
+    def end(row: pa.RecordBatch, last: bool) -> pa.RecordBatch:
+        blank = pa.nulls(1, pa.int64())
+        return pa.RecordBatch.from_arrays([blank] * 5 + [pa.array([part], pa.int32()), pa.array([last]), row.to_struct_array()], names=names)
+
+    names = ["k", "t", "other", "a", "b", "part", "last", "e"]
     for batch in batches:
-        col = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-        at = np.asarray(col["p"]).astype(np.int64)
-        for side in ("u", "v", "w"):
-            there = np.asarray(col[f"k{side}"].is_valid()) | np.asarray(col[f"r{side}"].is_valid())
-            right, left = _common(col["r"], col[f"r{side}"]), _common(col["l"], col[f"l{side}"])
-            good = np.flatnonzero(there & (left + stem + right >= least))
-            pick = pa.array(good)
-            yield pa.RecordBatch.from_arrays(
-                [col["k"].take(pick), col["t"].take(pick), col["p"].take(pick), col[f"k{side}"].take(pick),
-                 pa.array((at - left)[good]), pa.array((at + stem + right)[good])], names=names)
+        if not batch.num_rows:
+            continue
+        first = batch.slice(0, 1) if first is None else first
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        found = _pairs(rows, stem, least)
+        n = found.num_rows
+        yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()),
+                                          pa.nulls(n, batch.to_struct_array().type)], names=names)
+        held = batch.slice(batch.num_rows - 1, 1)
+    if first is not None:
+        yield end(first, False)
+        yield end(held, True)
+
+
+def _across(batches: Iterator[pa.RecordBatch], stem: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Matches of pairs of suffixes (structs ``x``, ``y``) that a partition border parts."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            rows = pa.RecordBatch.from_struct_array(pa.concat_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1)]))
+            yield _pairs(rows, stem, least)
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -192,28 +228,14 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", ke
     # Rows repeated with equal doc_id and text would each bring all suffixes; they match as copies.
     read = base.join(small, F.col("k").eqNullSafe(F.col("ka")) & (F.col("t") == F.col("ta"))).select("k", "t", "x", "s")
     sides = materialize(read.mapInArrow(lambda it: _sides(it, stem), "h long, k long, t long, p int, r binary, l binary"))
-    crowds = materialize(shared.where(F.col("c") > CROWD).select("h"))
-    usual = sides.join(small_side(crowds, 16), "h", "left_anti").select("*", F.lit(b"").alias("part"), F.lit(0).cast("long").alias("salt"))
-    ordered = usual
-    head = ["k", "t", "p", "r", "l"]
-    if not crowds.isEmpty():
-        hot = materialize(sides.join(small_side(crowds, 16), "h"))
-        many = hot.groupBy("h", "r").agg(F.count(F.lit(1)).alias("c"))
-        split = hot.join(many, ["h", "r"]).select(*sides.columns, F.col("r").alias("part"), F.pmod(
-            F.xxhash64("k", "t", "p"), F.ceil(F.col("c") / CROWD).cast("long")).alias("salt"))
-        ordered = usual.unionByName(split)
-    order = Window.partitionBy("h", "part", "salt").orderBy("r", "k", "t", "p")
-    near = ordered
-    for side, step in (("u", 1), ("v", -1)):
-        near = near.withColumns({f"{c}{side}": F.lag(c, step).over(order) for c in head})
-    firsts = sides.join(small_side(crowds, 16), "h").groupBy("h").agg(
-        F.min(F.struct("r", "k", "t", "p", "l")).alias("f")).select("h", *[F.col(f"f.{c}").alias(f"{c}w") for c in head])
-    near = near.join(small_side(materialize(firsts), 512), "h", "left")
-    own = (F.col("k").eqNullSafe(F.col("kw"))) & (F.col("t") == F.col("tw")) & (F.col("p") == F.col("pw"))
-    near = near.withColumns({f"{c}w": F.when(~F.coalesce(own, F.lit(False)), F.col(f"{c}w")) for c in ("k", "r", "l")})
-    cols = ["k", "t", "p", "r", "l", *[f"{c}{s}" for s in "uvw" for c in ("k", "r", "l")]]
-    marks = near.select(*cols).mapInArrow(lambda it: _matches(it, stem, min_words),
-                                          "k long, t long, p int, other long, a long, b long")
+    width = spread(sides.count(), 50_000, docs)
+    done = materialize(sides.repartitionByRange(width, "h", "r", "k", "t", "p").sortWithinPartitions("h", "r", "k", "t", "p")
+                       .mapInArrow(lambda it: _sorted_matches(it, stem, min_words), _FOUND + _ENDS))
+    # As many ends as partitions: each first suffix meets the last one before it.
+    ends = done.where("part is not null").select("part", "last", "e")
+    border = ends.withColumn("x", F.lag("e").over(Window.orderBy("part", "last"))).where("not last and x is not null")
+    across = border.select("x", F.col("e").alias("y")).mapInArrow(lambda it: _across(it, stem, min_words), _FOUND)
+    marks = done.where("part is null").select("k", "t", "other", "a", "b").unionByName(across)
     # Marks that touch are one passage.
     flow = Window.partitionBy("k", "t").orderBy("a", "b")
     reach = F.max("b").over(flow.rowsBetween(Window.unboundedPreceding, -1))
