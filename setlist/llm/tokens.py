@@ -3,7 +3,7 @@
 The ids are those that ``tokenizers`` gives for ``byte_bpe_50k.json`` without
 special tokens (their strings in a text are ordinary text).  They are made by
 ``tiktoken`` from the same vocabulary as ranks, which gives the same ids about
-five times faster; ``tests/llm/test_tokens.py`` holds one against the other.
+five times faster; ``tests/llm`` holds one against the other.
 """
 
 from __future__ import annotations
