@@ -36,13 +36,15 @@ def flatten_artist(artist: str | Column = "artist") -> list[Column]:
 
 
 # --------------------------------------------------------------------- F9 ---
-def flatten_columns(df: DataFrame, sep: str = ":", max_items: int = 1,
+def flatten_columns(df: DataFrame, sep: str = ":", *, max_items: int,
                     keep_arrays: bool = False) -> DataFrame:
     """F9 (column form): every leaf of nested structs/arrays → one top-level
     column named by its path (``track:album:images:0:url``).
 
     Arrays contribute elements ``0..max_items-1`` (null where shorter); the
-    bound is a parameter of the declared schema, never read from the data.
+    bound has no default, since later elements have no column;
+    :func:`flatten_entries` keeps every element, :func:`flatten_paths` takes
+    the paths that a caller wants.
     ``keep_arrays`` also keeps arrays of scalars as one column.
     """
     cols: list[Column] = []
@@ -63,6 +65,23 @@ def flatten_columns(df: DataFrame, sep: str = ":", max_items: int = 1,
     return df.select(*cols)
 
 
+def flatten_paths(df: DataFrame, paths: list[str], sep: str = ":") -> DataFrame:
+    """F9 for named leaves: one column per path (``track:artists:0:id``), null
+    where an array is shorter.  A path that the schema lacks is an error."""
+    cols: list[Column] = []
+    for path in paths:
+        expr, dtype = None, df.schema
+        for step in path.split(sep):
+            if isinstance(dtype, T.ArrayType) and step.isdigit():
+                expr, dtype = F.get(expr, int(step)), dtype.elementType
+            elif isinstance(dtype, T.StructType) and step in dtype.fieldNames():
+                expr, dtype = (F.col(_q(step)) if expr is None else expr[step]), dtype[step].dataType
+            else:
+                raise ValueError(f"no field {step!r} on the path {path!r}")
+        cols.append(expr.alias(path))
+    return df.select(*cols)
+
+
 def flatten_entries(df: DataFrame, id_col: str, sep: str = ":") -> DataFrame:
     """F9 (long form): every leaf as a ``(id, key, value)`` row, all list
     elements included (the flat-dict result without any bound on list size).

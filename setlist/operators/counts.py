@@ -43,13 +43,15 @@ def reconcile_counts(new: DataFrame, stored: DataFrame, total: DataFrame) -> Dat
     return out.withColumn("balanced", (F.col("n_new") + F.col("n_stored")) == F.col("n_total"))
 
 
-def most_featured(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+def most_featured(df: DataFrame, col: str, n: int = 10, weight: str | None = None) -> DataFrame:
     """The ``n`` most frequent values (ties by value) — a top-k report.
+    ``weight`` names a count made before (rows counted ahead of a join).
 
     Hash aggregate with partial counts, then ``orderBy + limit`` which Spark
     runs as a per-partition top-k (TakeOrderedAndProject).
     """
-    return (df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum(weight) if weight else F.count(F.lit(1))
+    return (df.groupBy(col).agg(total.alias("n"))
             .orderBy(F.desc("n"), F.asc(col)).limit(n))
 
 

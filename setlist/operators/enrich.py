@@ -24,6 +24,8 @@ from setlist.schemas import ARTIST_FEATURES, ARTIST_RECORD, TRACK_FEATURE_RECORD
 # Ids per external call, by id kind, and ids per partition.
 CALL_SIZE = {"track": 100, "artist": 50}
 IDS_PER_PARTITION = 2500
+# Partitions at most; beyond it a partition holds more calls, not a job more tasks.
+MAX_PARTITIONS = 10_000
 
 
 def _arrow_safe(records: list[dict], schema: T.StructType) -> pd.DataFrame:
@@ -47,7 +49,7 @@ def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable[[list], list],
     n = d.count()
     if n == 0:
         return ids.sparkSession.createDataFrame([], record_schema)
-    parts = max(1, math.ceil(n / ids_per_partition))
+    parts = min(max(1, math.ceil(n / ids_per_partition)), MAX_PARTITIONS)
     d = d.repartition(parts, "_id")
 
     def run(batches):
@@ -58,7 +60,17 @@ def enrich_batches(ids: DataFrame, id_col: str, fetch: Callable[[list], list],
                 if got:
                     yield _arrow_safe(got, record_schema)
 
-    return d.mapInPandas(run, record_schema)
+    # Written before it is returned: later actions read the answers and call nothing again.
+    return materialize(d.mapInPandas(run, record_schema))
+
+
+def enrich_from_table(ids: DataFrame, id_col: str, records: DataFrame, key: str,
+                      record_schema: T.StructType) -> DataFrame:
+    """B2/B4 against a stored record table: distinct ids joined to ``records``
+    by ``key``, ids without a record left out (P13), columns conformed to
+    ``record_schema`` (missing ones typed nulls)."""
+    wanted = ids.select(F.col(id_col).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    return conform(records.join(wanted, key, "left_semi"), record_schema, keep_extra=False)
 
 
 def track_features_frame(records: DataFrame, time_pulled) -> DataFrame:
@@ -86,7 +98,7 @@ def enrich(ids: DataFrame, id_col: str, fetch: Callable[[list], list], id_type:
     if id_type == "artist":
         rec = enrich_batches(ids, id_col, fetch, ARTIST_RECORD, CALL_SIZE["artist"])
         return artist_features_frame(rec, time_pulled)
-    raise ValueError(f"Improper ID type: {id_type}")
+    raise ValueError(f"id_type must be 'track' or 'artist', not {id_type!r}")
 
 
 from setlist._workers import ship_by_value  # noqa: E402

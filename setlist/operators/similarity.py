@@ -60,17 +60,28 @@ def item_vectors(df: DataFrame, id_col: str, feature_cols: list[str],
                  drop_null: bool = True) -> DataFrame:
     """Item table ``(item, *features)`` with double features.
 
-    Rows with a null id are dropped; rows with any null feature are dropped
-    unless ``drop_null`` is False (the reference cannot score them at all).
+    Rows with a null id are dropped; rows with a null, NaN or infinite feature
+    are dropped unless ``drop_null`` is False (no cosine is defined for them);
+    :func:`dropped_items` counts them.
     """
     out = df.select(F.col(id_col).alias("item"),
                     *[F.col(c).cast("double").alias(c) for c in feature_cols])
     out = out.filter(F.col("item").isNotNull())
     if drop_null:
-        out = out.dropna(subset=list(feature_cols))
+        for c in feature_cols:
+            out = out.filter(F.abs(F.col(c)) < F.lit(float("inf")))  # false for NaN, which is above it
     return out
 
 
+def dropped_items(df: DataFrame, id_col: str, feature_cols: list[str]) -> DataFrame:
+    """One row ``(n_rows, n_dropped)``: item rows, and those that
+    :func:`item_vectors` leaves out."""
+    whole = F.col(id_col).isNotNull()
+    for c in feature_cols:
+        whole = whole & F.coalesce(F.abs(F.col(c).cast("double")) < F.lit(float("inf")), F.lit(False))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(~whole, 1)).alias("n_dropped"))
+
+
 def array_features(df: DataFrame, array_col: str, dim: int,
                    prefix: str = "f") -> tuple[DataFrame, list[str]]:
     """Expand a fixed-width numeric array into ``dim`` double columns."""
@@ -85,14 +96,15 @@ def array_item_vectors(df: DataFrame, id_col: str, array_col: str, dim: int,
                        prefix: str = "f") -> tuple[DataFrame, list[str]]:
     """Item table from an array column (R2 for embeddings).
 
-    Rows whose array is null, of another width or holds a null are dropped
+    Rows whose array is null, of another width or holds a null, NaN or infinite
+    value are dropped
     with one predicate on the array *before* it is expanded; a null filter on
     dozens of aliased columns would make Catalyst's constraint inference
     explode at planning time.
     """
     arr = F.col(array_col)
     ok = (F.col(id_col).isNotNull() & arr.isNotNull() & (F.size(arr) == dim)
-          & F.forall(arr, lambda x: x.isNotNull()))
+          & F.forall(arr, lambda x: x.isNotNull() & (F.abs(x) < F.lit(float("inf")))))
     base = df.filter(ok).select(F.col(id_col).alias("item"), arr.alias("_v"))
     return array_features(base, "_v", dim, prefix)
 
@@ -100,8 +112,9 @@ def array_item_vectors(df: DataFrame, id_col: str, array_col: str, dim: int,
 def item_matrix_bytes(items: DataFrame, feature_cols: list[str]) -> tuple[int, int]:
     """(rows, bytes) of the dense item matrix — one count job; the check every
     broadcast of the items goes through."""
-    n = items.count()
-    return n, n * (len(feature_cols) + 1) * 8
+    ids = F.octet_length(F.col("item").cast("string"))
+    n, id_bytes = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.greatest(ids, F.lit(8))), F.lit(0))).first()
+    return n, id_bytes + n * 2 * len(feature_cols) * 8  # unit vectors and the sums behind them
 
 
 # --------------------------------------------------------------------- R3 ---
@@ -447,7 +460,7 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     """
     n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
-        F.col(query_col).isNotNull())
+        F.col(query_col).isNotNull() & F.col("item").isNotNull())
     if not pairs_distinct:
         ids = ids.distinct()
     if isinstance(n, DataFrame):
@@ -566,7 +579,7 @@ def query_means_from_pairs(pairs: DataFrame, items: DataFrame, feature_cols: lis
     eagerly collected list) and large catalogues use :func:`query_vectors`."""
     n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
-        F.col(query_col).isNotNull())
+        F.col(query_col).isNotNull() & F.col("item").isNotNull())
     if not pairs_distinct:
         ids = ids.distinct()
     if item_bytes > broadcast_max_bytes:

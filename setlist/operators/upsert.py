@@ -1,20 +1,25 @@
 """Keyed upsert on a parquet table.
 
 ``upsert_by_key`` is the pure plan: target rows whose key has no update,
-plus the latest update per key.  ``write_upsert`` materialises it into a
-staging folder next to the table and swaps folders, so the path being read is
-never overwritten while it is read, and a failed job leaves the old table.
+plus the latest update per key.  ``write_upsert`` keeps the table in folders
+by key hash and replaces, through Spark's own commit, only the folders that
+updates fall into.  The merged rows are written to the shared checkpoint
+folder first, so nothing is overwritten while it is read.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setlist.operators.dedup import dedup_any, dedup_first
-from setlist.sources.readers import _jfs, read_or_empty
+from setlist.session import materialize
+from setlist.sources.readers import dataset_exists
+
+#: Folder column of a stored table, and the folders of a new one.
+FOLDER = "_key_hash"
+FOLDERS = 64
 
 
 def latest_per_key(updates: DataFrame, key: str, order_col: str | None = None) -> DataFrame:
@@ -31,35 +36,34 @@ def upsert_by_key(target: DataFrame, updates: DataFrame, key: str,
                   order_col: str | None = None) -> DataFrame:
     """Replace whole rows by key, insert new keys (ReplaceOne with upsert).
 
-    Applying the same updates twice gives the same table.  Columns: the
-    union of both sides (missing ones null).
+    Applying the same updates twice gives the same table; a null key is one
+    key.  Columns: the union of both sides (missing ones null).
     """
     latest = latest_per_key(updates, key, order_col)
-    kept = target.join(latest.select(key), key, "left_anti")
+    keys = latest.select(F.col(key).alias("_updated"))
+    kept = target.join(keys, F.col(key).eqNullSafe(F.col("_updated")), "left_anti")
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``write_upsert`` keeps at ``path``, with every column it ever had."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(FOLDER)
+
+
 def write_upsert(spark: SparkSession, path: str, updates: DataFrame, key: str,
                  schema: T.StructType, order_col: str | None = None) -> DataFrame:
-    """Upsert ``updates`` into the parquet table at ``path`` (created if absent).
-
-    Writes the merged table into ``<path>.staging-<id>``, then swaps it in
-    with two renames on the table's own file system.  Returns the new table.
-    """
-    target = read_or_empty(spark, path, schema)
-    merged = upsert_by_key(target, updates, key, order_col)
-    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
-    merged.write.mode("errorifexists").parquet(staging)
-    p, fs = _jfs(spark, path)
-    s, _ = _jfs(spark, staging)
-    if fs.exists(p):
-        old, _ = _jfs(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex}")
-        if not fs.rename(p, old):
-            raise IOError(f"could not move {path} aside")
-        if not fs.rename(s, p):
-            fs.rename(old, p)
-            raise IOError(f"could not move {staging} into place")
-        fs.delete(old, True)
-    elif not fs.rename(s, p):
-        raise IOError(f"could not move {staging} into place")
-    return spark.read.schema(merged.schema).parquet(path)
+    """Upsert ``updates`` into the table at ``path`` (created if absent, with
+    the columns of ``schema``).  Stored columns that the updates lack stay;
+    new ones are null in stored rows.  Returns the new table."""
+    folder = F.pmod(F.xxhash64(F.col(key)), F.lit(FOLDERS)).cast("int")
+    fresh = materialize(updates.withColumn(FOLDER, folder))
+    if dataset_exists(spark, path):
+        stored = spark.read.option("mergeSchema", True).parquet(path)
+        touched = fresh.select(FOLDER).distinct()  # at most FOLDERS rows
+        target = stored.join(F.broadcast(touched), FOLDER, "left_semi")
+    else:
+        target = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField(FOLDER, T.IntegerType())]))
+    merged = materialize(upsert_by_key(target, fresh, key, order_col))
+    (merged.repartition(FOLDER).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(FOLDER).parquet(path))
+    return read_store(spark, path)

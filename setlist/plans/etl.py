@@ -20,12 +20,11 @@ from setlist.functions.scalars import (chunk_array, epoch_to_timestamp, fill_by_
 from setlist.operators.counts import (count_non_null, feature_histogram, most_featured,
                                       progress_counts, reconcile_counts)
 from setlist.operators.dedup import dedup_first, distinct_keys, first_seen
-from setlist.operators.enrich import enrich_batches, track_features_frame
+from setlist.operators.enrich import enrich_from_table, track_features_frame
 from setlist.operators.lookup import (drop_junk_keys, join_on, lookup_found, lookup_missing,
                                       new_rows, new_slices, remaining_ids)
 from setlist.operators.split import head_n, sample_n
 from setlist.operators.upsert import upsert_by_key
-from setlist.plans.services import HASHED_TRACK_SQL, hashed_track_service
 from setlist.plans.tables import SEED, table
 from setlist.schemas import TRACK_FEATURE_RECORD
 
@@ -148,13 +147,15 @@ _DECLARED = T.StructType([
 
 
 @register("conform_schema", """
-SELECT p_partkey, p_name, CAST(CAST(p_retailprice AS VARCHAR) AS DOUBLE) AS p_retailprice,
+SELECT p_partkey, p_name, CASE WHEN p_type <> 'ECONOMY' THEN p_retailprice END AS p_retailprice,
        CAST(p_size AS BIGINT) AS p_size, CAST(NULL AS BIGINT) AS track_key
 FROM part""")
 def q_conform_schema(spark, sf_dir):
-    """Declared columns cast (price arrives as text), missing ones typed null."""
-    p = table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", F.col("p_retailprice").cast("string").alias("p_retailprice"), "p_size")
+    """Declared columns cast (price arrives as text, for some parts no
+    number: null), missing ones typed null."""
+    price = F.when(F.col("p_type") == "ECONOMY", F.concat(F.lit("from "), F.col("p_retailprice"))).otherwise(
+        F.col("p_retailprice").cast("string"))
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", price.alias("p_retailprice"), "p_size")
     return conform(p, _DECLARED, keep_extra=False)
 
 
@@ -164,10 +165,12 @@ SELECT page_id,
        CASE WHEN len(string_split(url, ':')) >= 1 THEN string_split(url, ':')[1] END AS part0,
        CASE WHEN len(string_split(url, ':')) >= 2 THEN string_split(url, ':')[2] END AS part1,
        CASE WHEN len(string_split(url, ':')) >= 3 THEN string_split(url, ':')[3] END AS part2
-FROM pages""")
+FROM (SELECT page_id, CASE WHEN url LIKE 'https%' THEN url || ':' || page_id ELSE url END AS url FROM pages)""")
 def q_parse_uri_part(spark, sf_dir):
-    """F1 on raw URLs: parts 0-2 of a ``:``-split; a missing part is null."""
-    p = table(spark, sf_dir, "pages")
+    """F1 on URLs, https ones with the page id appended: parts 0-2 of a
+    ``:``-split; a missing part is null."""
+    url = F.when(F.col("url").like("https%"), F.concat_ws(":", "url", "page_id")).otherwise(F.col("url"))
+    p = table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
     return p.select("page_id", *[uri_part("url", i).alias(f"part{i}") for i in range(3)])
 
 
@@ -251,7 +254,7 @@ def q_json_flatten(spark, sf_dir):
     """S7 + F9: JSON text lines decoded with a declared schema, leaves flattened."""
     e = table(spark, sf_dir, "events").select(
         "event_id", F.from_json("props", "struct<k:bigint>").alias("props"))
-    return flatten_columns(e)
+    return flatten_columns(e, max_items=1)  # the schema holds no array
 
 
 _ARTIST_SQL_IMAGES = ("CASE WHEN s_acctbal < 0 THEN NULL WHEN s_acctbal < 1000 THEN NULL "
@@ -335,9 +338,10 @@ SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM (
 WHERE rn = 1""")
 def q_dedup_by_key(spark, sf_dir):
     """A3: documents deduplicated by text, the lowest doc_id kept."""
-    d = table(spark, sf_dir, "documents").select("text", "doc_id", "lang", "source", "n_chars")
-    first = dedup_first(d, ["text"], ["doc_id"])
-    return first.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
+    d = table(spark, sf_dir, "documents").select(
+        F.sha2("text", 256).alias("digest"), F.md5("text").alias("text_md5"), "doc_id", "lang", "source", "n_chars")
+    first = dedup_first(d, ["digest"], ["doc_id"])  # digests move, texts don't
+    return first.select("doc_id", "lang", "source", "n_chars", "text_md5")
 
 
 _LI_ORDER = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -397,12 +401,12 @@ def q_progress_counts(spark, sf_dir):
 
 
 @register("reconcile_counts", """
+SELECT *, n_new + n_stored = n_total AS balanced FROM (
 SELECT (SELECT count(*) FROM orders o WHERE NOT EXISTS
             (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS n_new,
        (SELECT count(*) FROM orders o WHERE EXISTS
             (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)) AS n_stored,
-       (SELECT count(*) FROM orders) AS n_total,
-       TRUE AS balanced""")
+       (SELECT count(*) FROM orders) AS n_total)""")
 def q_reconcile_counts(spark, sf_dir):
     """Orders not yet having lines + orders having lines = all orders."""
     o = table(spark, sf_dir, "orders").select("o_orderkey")
@@ -429,23 +433,25 @@ def q_new_rows_anti(spark, sf_dir):
 
 
 @register("new_slices_anti", """
-SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS slice FROM orders
-WHERE year(o_orderdate) * 100 + month(o_orderdate) NOT IN
-      (SELECT DISTINCT year(l_shipdate) * 100 + month(l_shipdate) FROM lineitem)""")
+SELECT DISTINCT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS slice FROM lineitem
+WHERE year(l_shipdate) * 100 + month(l_shipdate) NOT IN
+      (SELECT DISTINCT year(o_orderdate) * 100 + month(o_orderdate) FROM orders)""")
 def q_new_slices_anti(spark, sf_dir):
-    """Raw slices (order months) with no cleaned counterpart (ship months)."""
+    """Raw slices (ship months) with no cleaned counterpart (order months)."""
     def ym(c):
         return (F.year(c) * 100 + F.month(c)).alias("slice")
-    raw = table(spark, sf_dir, "orders").select(ym("o_orderdate")).distinct()
-    cleaned = table(spark, sf_dir, "lineitem").select(ym("l_shipdate"))
+    raw = table(spark, sf_dir, "lineitem").select(ym("l_shipdate")).distinct()
+    cleaned = table(spark, sf_dir, "orders").select(ym("o_orderdate"))
     return new_slices(raw, cleaned)
 
 
 @register("lookup_found", """
-SELECT c.* FROM customer c SEMI JOIN orders o ON o.o_custkey = c.c_custkey""")
+SELECT c.* FROM customer c SEMI JOIN (SELECT * FROM orders
+WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') o ON o.o_custkey = c.c_custkey""")
 def q_lookup_found(spark, sf_dir):
-    """Stored customer rows whose key is among the ids seen in orders."""
-    return lookup_found(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"),
+    """Stored customer rows whose key is among those of urgent filled orders."""
+    urgent = "o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'"
+    return lookup_found(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders").filter(urgent),
                         "c_custkey", "o_custkey")
 
 
@@ -482,7 +488,7 @@ def q_three_way_inner_sorted(spark, sf_dir):
 # ------------------------------------------------------------------- K7 ----
 @register("upsert_latest", """
 WITH upd AS (
-  SELECT l_partkey AS p_partkey, l_extendedprice / l_quantity AS p_retailprice,
+  SELECT 2 * l_partkey AS p_partkey, l_extendedprice / l_quantity AS p_retailprice,
          l_shipdate AS updated_at FROM lineitem),
 latest AS (
   SELECT p_partkey, p_retailprice, updated_at FROM (
@@ -493,10 +499,11 @@ SELECT p_partkey, p_retailprice, CAST(NULL AS TIMESTAMP) AS updated_at
 FROM part WHERE p_partkey NOT IN (SELECT p_partkey FROM latest)
 UNION ALL SELECT * FROM latest""")
 def q_upsert_latest(spark, sf_dir):
-    """K7: part prices replaced by the latest price seen in the line items."""
+    """K7: prices by the latest line item of half the number: odd parts stay,
+    even ones are replaced, numbers above the parts' are inserted."""
     target = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     upd = table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("p_partkey"),
+        (2 * F.col("l_partkey")).alias("p_partkey"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("p_retailprice"),
         F.col("l_shipdate").alias("updated_at"))
     return upsert_by_key(target, upd, "p_partkey", "updated_at")
@@ -523,9 +530,9 @@ SELECT s_name, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppke
 GROUP BY s_name ORDER BY n DESC, s_name LIMIT 10""")
 def q_most_featured(spark, sf_dir):
     """The ten most featured artists (suppliers) over all entries."""
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey")
+    li = table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("entries"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return most_featured(li.join(s, F.col("s_suppkey") == F.col("l_suppkey")), "s_name", 10)
+    return most_featured(li.join(s, F.col("s_suppkey") == F.col("l_suppkey")), "s_name", 10, "entries")
 
 
 @register("feature_histogram", """
@@ -563,16 +570,26 @@ def q_drop_sparse_columns(spark, sf_dir):
     return drop_sparse_columns(j, 0.6)
 
 
-# ------------------------------------------------------- B4 P13 P9 ---------
+# ------------------------------------------------------- B2 B4 P13 P9 ------
 @register("enrich_in_batches", f"""
-SELECT track_spid, track_uri, track_type, track_danceability, track_energy, track_key,
-       track_mode, track_tempo, TIMESTAMP '{PULL_TIME}' AS time_pulled
-FROM ({HASHED_TRACK_SQL.format(id="l_partkey", src="(SELECT DISTINCT l_partkey FROM lineitem)")}) r""")
+SELECT CAST(p_partkey AS VARCHAR) AS track_spid, 'x:track:' || p_partkey AS track_uri, p_type AS track_type,
+       p_size / CAST(50 AS DOUBLE) AS track_danceability, p_retailprice / 2000 AS track_energy,
+       CAST(p_size % 12 AS BIGINT) AS track_key, CAST(p_size % 2 AS BIGINT) AS track_mode,
+       CAST(60 + p_size AS DOUBLE) AS track_tempo, TIMESTAMP '{PULL_TIME}' AS time_pulled
+FROM part WHERE p_partkey IN (SELECT 2 * l_partkey FROM lineitem WHERE l_returnflag = 'R')""")
 def q_enrich_in_batches(spark, sf_dir):
-    """Distinct part ids fetched from the (stand-in) service in calls of
-    100, empty answers dropped, renamed/prefixed, stamped and conformed."""
-    ids = table(spark, sf_dir, "lineitem").select("l_partkey")
-    rec = enrich_batches(ids, "l_partkey", hashed_track_service, TRACK_FEATURE_RECORD, 100)
+    """Records of the wanted ids (twice the returned part numbers: half
+    of them have no record) from the stored record table (``part``), renamed,
+    prefixed, stamped and conformed."""
+    ids = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R").select(
+        (2 * F.col("l_partkey")).cast("string").alias("id"))
+    size = F.col("p_size")
+    records = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"), F.concat(F.lit("x:track:"), F.col("p_partkey")).alias("uri"),
+        F.col("p_type").alias("type"), (size / F.lit(50.0)).alias("danceability"),
+        (F.col("p_retailprice") / 2000).alias("energy"), (size % 12).alias("key"), (size % 2).alias("mode"),
+        (size + 60).alias("tempo"))
+    rec = enrich_from_table(ids, "id", records, "id", TRACK_FEATURE_RECORD)
     feats = track_features_frame(rec, PULL_TIME)
     return feats.select("track_spid", "track_uri", "track_type", "track_danceability", "track_energy",
                         "track_key", "track_mode", "track_tempo", _ntz(F.col("time_pulled")).alias("time_pulled"))

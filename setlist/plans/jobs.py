@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlist.functions.flatten import flatten_columns, id_attribute_map, rename_select
+from setlist.functions.flatten import flatten_paths, id_attribute_map, rename_select
 from setlist.functions.scalars import (epoch_to_timestamp, fill_by_type, parse_list_text,
                                        parse_timestamp, text_to_bool)
 from setlist.operators.clean import playlist_items_long
@@ -23,6 +23,7 @@ from setlist.operators.similarity import MUSIC_FEATURES, item_vectors, recommend
 from setlist.operators.split import holdout_split, inference_example, split_lists
 from setlist.operators.upsert import write_upsert
 from setlist.schemas import PLAYLIST_FEATURE_COLUMNS, TRACK_FEATURES
+from setlist.session import materialize
 from setlist.sinks.writers import append_parquet, save_csv
 from setlist.sources.readers import read_liked_pages, read_or_empty
 from setlist.streaming.incremental import clean_new_slices
@@ -72,10 +73,17 @@ def select_track_features(track_features: DataFrame) -> DataFrame:
     return track_features.select("track_spid", *MUSIC_FEATURES)
 
 
-def prepare(playlists: DataFrame, track_features: DataFrame, seed=42, test_frac=0.25):
-    """Split, selected track features, selected playlist features, inference example."""
-    long = playlist_items_long(playlists).select("pid", F.col("track_id").alias("item")).distinct()
-    split = holdout_split(long, "pid", "item", test_frac, seed)
+def prepare(playlists: DataFrame, track_features: DataFrame, seed=42, test_frac=0.25,
+            by_position: bool = False):
+    """Split, selected track features, selected playlist features, inference example.
+
+    ``by_position`` splits the entries of a list, duplicates included (D10);
+    else each distinct item of a playlist is on one side."""
+    long = playlist_items_long(playlists).select("pid", "pos", F.col("track_id").alias("item"))
+    if by_position:
+        split = holdout_split(long, "pid", "pos", test_frac, seed).drop("pos")
+    else:
+        split = holdout_split(long.drop("pos").distinct(), "pid", "item", test_frac, seed)
     rows = split_lists(split)
     return {
         "split": split,
@@ -123,16 +131,22 @@ def train_and_evaluate(split: DataFrame, track_features: DataFrame, *,
 # --------------------------------------------------------------------- W5 ---
 def batch_recommend(requests: DataFrame, track_features: DataFrame, key: str = "pid",
                     features=MUSIC_FEATURES, exclude_seen: bool = False) -> DataFrame:
-    """Rows of ``(key, track_ids, n)`` → ``(key, rank, item, cosine)``.
+    """Rows of ``(key, track_ids, n)`` → ``(key, request, rank, item, cosine)``.
 
+    Every row is answered by itself: ``request`` numbers the rows (any
+    numbers), so rows that share a key keep their own ids and ``n``.
     ``track_ids`` may be an array or its text form (F12, never evaluated).
     """
     ids_col = requests.schema["track_ids"].dataType
     ids = parse_list_text("track_ids") if ids_col.typeName() == "string" else F.col("track_ids")
-    long = requests.select(key, F.explode(ids).alias("item"))
+    # Written, so that a row keeps its number.
+    rows = materialize(requests.select(key, ids.alias("track_ids"), "n").withColumn(
+        "request", F.monotonically_increasing_id()))
+    long = rows.select("request", F.explode("track_ids").alias("item"))
     items = item_vectors(track_features, "track_spid", list(features))
-    return recommend_from_pairs(long, items, requests.select(key, "n"), list(features),
-                                query_col=key, exclude_seen=exclude_seen)
+    recs = recommend_from_pairs(long, items, rows.select("request", "n"), list(features),
+                                query_col="request", exclude_seen=exclude_seen)
+    return recs.join(rows.select("request", key), "request").select(key, "request", "rank", "item", "cosine")
 
 
 # --------------------------------------------------------------------- W6 ---
@@ -142,9 +156,8 @@ def liked_items_table(spark: SparkSession, pages_path: str, fetch_tracks, fetch_
     features fetched in batches (B4, F8) → joined (J1, J2), newest first (O1),
     tagged (P8), optionally written as CSV (K6)."""
     items = read_liked_pages(spark, pages_path)
-    flat = flatten_columns(items, ":", max_items=1)
-    liked = rename_select(flat, {k: v for k, v in LIKED_RENAMES.items() if k in flat.columns},
-                          keep_first=["added_at"])
+    flat = flatten_paths(items, ["added_at", *LIKED_RENAMES])
+    liked = rename_select(flat, LIKED_RENAMES, keep_first=["added_at"])
     tf = enrich(liked, "track_spid", fetch_tracks, "track", time_pulled).drop(
         "track_uri", "track_track_href", "track_analysis_url", "track_type", "time_pulled")
     af = enrich(liked, "artist_spid", fetch_artists, "artist", time_pulled).drop("time_pulled")
@@ -165,4 +178,5 @@ def node_table(playlists: DataFrame, id_col: str = "pid", epoch_unit: str = "s")
 def predictions_as_lists(recs: DataFrame, key: str = "pid") -> DataFrame:
     """The reference's prediction shape: one ordered list per request row."""
     from setlist.operators.similarity import as_lists
-    return as_lists(recs, key)
+    keys = recs.select("request", key).distinct()
+    return as_lists(recs, "request").join(keys, "request").select(key, "request", "track_ids")

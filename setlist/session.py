@@ -49,7 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session.
 
     Sets the SparkContext checkpoint folder from ``spark.checkpoint.dir``; if
-    the session names none (local tests only) a fresh temp folder is used.
+    the session names none, a local master gets a fresh temp folder and any
+    other master an error: executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -57,8 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="setlist-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from setlist.operators.enrich import enrich
-from setlist.plans.services import hashed_track_service
+from tests.services import hashed_track_service
 
 SF = "/root/testdata/sf0.001"
 

@@ -27,7 +27,7 @@ def test_flatten_columns_and_entries(spark):
         [(1, ("n", [("a1", "x"), ("a2", "y")], ("al", [("img",)])))],
         "id int, track struct<name:string, artists:array<struct<id:string,name:string>>,"
         " album:struct<name:string, images:array<struct<url:string>>>>")
-    flat = flatten_columns(df, ":", 1)
+    flat = flatten_columns(df, ":", max_items=1)
     assert flat.columns == ["id", "track:name", "track:artists:0:id", "track:artists:0:name",
                             "track:album:name", "track:album:images:0:url"]
     assert tuple(flat.first()) == (1, "n", "a1", "x", "al", "img")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from setlist.operators.similarity import MUSIC_FEATURES
 from setlist.plans import jobs
-from setlist.plans.services import hashed_track_service
+from tests.services import hashed_track_service
 from setlist.schemas import TRACK_FEATURES
 from tests.test_clean import _fixture, _pl, _write
 
