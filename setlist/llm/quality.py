@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlist.llm.common import SPACES, fresh, let, lines, materialize, table, words
+from setlist.llm.common import SPACES, let, lines, materialize, table, words
 
 #: Words in a window whose repetition counts.
 GRAM = 5
@@ -155,10 +155,9 @@ def cascade(rules: list[Rule], facts: Facts) -> Column:
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + VERDICT_RULES,
               text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that pass every rule, columns unchanged."""
-    w = fresh(docs, "words")
-    facts = Facts(F.col(text), F.col(w))
-    verdict = cascade(plan_cascade(docs, rules, text, sample_rows), facts)
-    return docs.withColumn(w, words(F.col(text))).where(verdict).select(*docs.columns)
+    order = plan_cascade(docs, rules, text, sample_rows)
+    # The words are bound inside the predicate: a column would be copied into every rule by the filter.
+    return docs.where(let(words(F.col(text)), lambda w: cascade(order, Facts(F.col(text), w))))
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = VERDICT_RULES) -> DataFrame:
