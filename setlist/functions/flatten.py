@@ -26,7 +26,7 @@ def flatten_artist(artist: str | Column = "artist") -> list[Column]:
     nulls instead of failing (D29).
     """
     a = F.col(artist) if isinstance(artist, str) else artist
-    return [
+    return [  # fixed values: the five column names
         a["followers"]["total"].cast("long").alias("artist_follower_total"),
         F.coalesce(a["genres"], F.array().cast("array<string>")).alias("artist_genres"),
         a["id"].alias("artist_spid"),

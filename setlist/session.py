@@ -78,9 +78,3 @@ def materialize(df: DataFrame) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "setlist-tables", uuid.uuid4().hex)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path under the shared checkpoint folder for staged writes."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "setlist-staging", f"{name}-{uuid.uuid4().hex}")
