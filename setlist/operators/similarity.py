@@ -132,6 +132,17 @@ HOT_QUERY_ROWS = 1_000_000
 HOT_SALTS = 64
 
 
+def _hot_queries(ids: DataFrame, query_col: str, hot_rows: int) -> DataFrame | None:
+    """Queries with more than ``hot_rows`` items, or None when there are none.
+
+    The list stays a table: only whether it has a row comes to the driver."""
+    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_c"))
+    hot = sizes.filter(F.col("_c") > hot_rows).select(query_col)
+    if hot.isEmpty():
+        return None
+    return materialize(hot)
+
+
 def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
                   query_col: str = "pid", item_col: str = "item",
                   hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS,
@@ -148,9 +159,9 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
     the item matrix is joined inside the partition (broadcast after its size
     is checked against ``broadcast_max_bytes``) and summed there, so the wide
     per-feature rows are never shuffled at pair cardinality.  Queries with more than ``hot_rows``
-    distinct items — at most ``pairs / hot_rows`` of them, so the list is
-    small by construction — are salted over ``salts`` partitions and merged
-    by a second, tiny aggregation; all other queries finish in one pass.
+    distinct items are salted over ``salts`` partitions and merged by a
+    second, tiny aggregation; all other queries finish in one pass.  Their
+    list grows with the pairs, so Spark picks its join.
     """
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item"))
     if not pairs_distinct:
@@ -159,7 +170,7 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
         _, item_bytes = item_matrix_bytes(items, feature_cols)
     side = F.broadcast(items) if item_bytes <= broadcast_max_bytes else items
     sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(sizes.filter(F.col("_n") > hot_rows).select(query_col))
+    hot = sizes.filter(F.col("_n") > hot_rows).select(query_col)
     sums = [F.sum(c).alias(c) for c in feature_cols]
     # Ordinary queries: narrow pairs partitioned by query, summed in place.
     cold = (ids.join(hot, query_col, "left_anti").repartition(_compute_partitions(ids), query_col)
@@ -199,21 +210,31 @@ def _topk_rows(scores: np.ndarray, ks: np.ndarray):
     # vectors) then tie exactly and fall back to item id, whatever order the
     # sums were formed in.  Real gaps are many orders of magnitude larger.
     np.round(scores, SCORE_DECIMALS, out=scores)
-    kmax = int(min(ks.max(initial=0), t))
-    if kmax <= 0 or t == 0:
+    ks = np.clip(ks, 0, t)
+    if ks.max(initial=0) <= 0:
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, np.zeros(0), empty
-    if kmax < t:
-        thr = np.partition(scores, t - kmax, axis=1)[:, t - kmax]
-        rows, cols = np.nonzero(scores >= thr[:, None])
-    else:
-        rows, cols = np.divmod(np.arange(b * t, dtype=np.int64), t)
+    # Rows of like k share one cut: a single row with a huge k does not make
+    # every row of the block keep as many.
+    level = np.ceil(np.log2(np.maximum(ks, 1))).astype(np.int64)
+    found = []
+    for x in np.unique(level[ks > 0]):
+        mine = np.flatnonzero((level == x) & (ks > 0))
+        part = scores if mine.size == b else scores[mine]
+        k = int(ks[mine].max())
+        if k < t:
+            thr = np.partition(part, t - k, axis=1)[:, t - k]
+            r, c = np.nonzero(part >= thr[:, None])
+        else:
+            r, c = np.divmod(np.arange(mine.size * t, dtype=np.int64), t)
+        found.append((mine[r], c))
+    rows, cols = (np.concatenate(x) for x in zip(*found))
     vals = scores[rows, cols]
     order = np.lexsort((cols, -vals, rows))
     rows, cols, vals = rows[order], cols[order], vals[order]
     first = np.searchsorted(rows, rows, side="left")
     rank = np.arange(rows.size, dtype=np.int64) - first + 1
-    keep = rank <= np.minimum(ks[rows], t)
+    keep = rank <= ks[rows]
     return rows[keep], cols[keep], vals[keep], rank[keep]
 
 
@@ -438,8 +459,7 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
                          exclude_seen: bool = False, pairs_distinct: bool = False,
                          item_stats: tuple[int, int] | None = None,
                          broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-                         hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS,
-                         hot_check: str = "lazy") -> DataFrame:
+                         hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS) -> DataFrame:
     """R3 + R4 in one pass: each query's mean vector over its distinct known
     items, then its top-``n`` items by cosine (``exclude_seen``: never its own
     items).  Same result as :func:`query_vectors` + :func:`recommend`.
@@ -451,12 +471,9 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     n)`` rows are shuffled (by query, sorted inside the partition) and one
     Arrow-batched kernel forms each mean from the broadcast matrix and scores
     it: no per-feature row exists in the JVM.  Queries above ``hot_rows``
-    items (a bounded broadcast list; AQE drops the branch when it is empty)
-    and catalogues above ``broadcast_max_bytes`` use the salted / tiled
-    operators instead.  ``hot_check="eager"`` (for inputs already written
-    to storage, where one columnar pass over the query column is cheap)
-    collects the hot list first — at most ``rows / hot_rows`` ids — and
-    leaves the fallback out of the plan entirely when it is empty.
+    items and catalogues above ``broadcast_max_bytes`` use the salted / tiled
+    operators instead; whether there is a hot query is asked first, and
+    without one the fallback is left out of the plan.
     """
     n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
@@ -483,13 +500,7 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
     if item_bytes > broadcast_max_bytes:
         return classic(ids)
 
-    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_c"))
-    hot = F.broadcast(sizes.filter(F.col("_c") > hot_rows).select(query_col))
-    if hot_check == "eager":
-        hot_ids = [r[0] for r in sizes.filter(F.col("_c") > hot_rows).select(query_col).collect()]
-        hot = None if not hot_ids else F.broadcast(
-            ids.sparkSession.createDataFrame([(h,) for h in hot_ids],
-                                             T.StructType([ids.schema[query_col]])))
+    hot = _hot_queries(ids, query_col, hot_rows)
     cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
     parts = _compute_partitions(ids)
     cold = cold.repartition(parts, query_col)
@@ -575,8 +586,8 @@ def query_means_from_pairs(pairs: DataFrame, items: DataFrame, feature_cols: lis
                            hot_rows: int = HOT_QUERY_ROWS, salts: int = HOT_SALTS) -> DataFrame:
     """:func:`query_vectors` computed like :func:`recommend_from_pairs`: narrow
     pairs sorted by query inside the partition, means formed in an Arrow
-    kernel from the size-checked broadcast matrix.  Hot queries (a bounded,
-    eagerly collected list) and large catalogues use :func:`query_vectors`."""
+    kernel from the size-checked broadcast matrix.  Hot queries and large
+    catalogues use :func:`query_vectors`."""
     n_items, item_bytes = item_stats or item_matrix_bytes(items, feature_cols)
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item")).filter(
         F.col(query_col).isNotNull() & F.col("item").isNotNull())
@@ -586,10 +597,7 @@ def query_means_from_pairs(pairs: DataFrame, items: DataFrame, feature_cols: lis
         return query_vectors(ids, items, feature_cols, query_col, pairs_distinct=True,
                              item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
                              hot_rows=hot_rows, salts=salts)
-    sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_c"))
-    hot_ids = [r[0] for r in sizes.filter(F.col("_c") > hot_rows).select(query_col).collect()]
-    hot = None if not hot_ids else F.broadcast(
-        ids.sparkSession.createDataFrame([(h,) for h in hot_ids], T.StructType([ids.schema[query_col]])))
+    hot = _hot_queries(ids, query_col, hot_rows)
     cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
     cold = cold.repartition(_compute_partitions(ids), query_col).sortWithinPartitions(query_col)
     bc = _item_broadcast(items, feature_cols)

@@ -50,20 +50,19 @@ def hash_rank(df: DataFrame, group_cols: list[str], key_cols: list[str], seed=42
     ever putting a group of more than ``big_group_rows`` rows into one task.
 
     Group sizes come from a hash aggregate (partial counts, skew-safe).  The
-    groups above the threshold — at most ``rows / big_group_rows`` of them, so
-    the list is small by construction — are broadcast and ranked with
-    md5-prefix buckets (:func:`_bucket_rank`); every other group is ranked by
-    one window whose partition holds at most ``big_group_rows`` rows.  Rows
+    groups above the threshold are ranked with md5-prefix buckets
+    (:func:`_bucket_rank`); every other group is ranked by one window whose
+    partition holds at most ``big_group_rows`` rows.  Rows
     with a null group key are not ranked.  Adds ``_rank`` (1-based) and
     ``_size`` (rows in the group).
     """
     cols = group_cols + key_cols
     src = df.dropna(subset=group_cols)
     sizes = src.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    big = F.broadcast(sizes.filter(F.col("_n") > big_group_rows).select(*group_cols))
+    big = sizes.filter(F.col("_n") > big_group_rows).select(*group_cols)
     wg = Window.partitionBy(*group_cols)
-    # Anti/inner joins against the broadcast list: when no group is big, AQE
-    # sees an empty build side and drops the whole bucket branch at runtime.
+    # Anti/inner joins against the list, whose size Spark measures: when no
+    # group is big, AQE sees an empty side and drops the bucket branch.
     cold = (src.join(big, group_cols, "left_anti")
             .withColumn("_rank", F.row_number().over(wg.orderBy(_seed_hash(seed, cols), *key_cols))
                         .cast("long"))

@@ -172,8 +172,7 @@ def q_holdout_split(spark, sf_dir):
 def q_cosine_topn(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
     train = _train(_split(spark, sf_dir))
-    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True, item_stats=stats,
-                                         hot_check="eager"))
+    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True, item_stats=stats))
 
 
 @register("cosine_topn_excluding_seen", SQL_COSINE_TOPN_EX)
@@ -181,7 +180,7 @@ def q_cosine_topn_excluding_seen(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
     train = _train(_split(spark, sf_dir))
     return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True,
-                                         exclude_seen=True, item_stats=stats, hot_check="eager"))
+                                         exclude_seen=True, item_stats=stats))
 
 
 @register("recommend_batch_variable_n", SQL_VARIABLE_N)
@@ -192,20 +191,19 @@ def q_recommend_batch_variable_n(spark, sf_dir):
     n_known = (train.join(items.select("item"), "item")
                .groupBy("pid").agg(F.count(F.lit(1)).alias("n")))
     return _rounded(recommend_from_pairs(train, items, n_known, cols, pairs_distinct=True,
-                                         item_stats=stats, hot_check="eager"))
+                                         item_stats=stats))
 
 
 @register("hit_rate", SQL_HIT_RATE)
 def q_hit_rate(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols, item_stats=stats, hot_check="eager")
+    return evaluate(_split(spark, sf_dir), items, cols, item_stats=stats)
 
 
 @register("hit_rate_excluding_seen", SQL_HIT_RATE_EX)
 def q_hit_rate_excluding_seen(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
-    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True, item_stats=stats,
-                    hot_check="eager")
+    return evaluate(_split(spark, sf_dir), items, cols, exclude_seen=True, item_stats=stats)
 
 
 @register("evaluate_sample", SQL_EVAL_SAMPLE)

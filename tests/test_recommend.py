@@ -156,7 +156,7 @@ def test_ties_and_per_row_n_match_brute_force(spark, seed):
             assert got == want, (kw, excl is not None)
 
 
-@pytest.mark.parametrize("variant", ["plain", "hot", "hot_eager", "eager", "large_catalogue", "small_batches"])
+@pytest.mark.parametrize("variant", ["plain", "hot", "large_catalogue", "small_batches"])
 def test_fused_matches_two_step(spark, variant):
     from setlist.operators.similarity import recommend_from_pairs
     rng = np.random.default_rng(21)
@@ -170,8 +170,7 @@ def test_fused_matches_two_step(spark, variant):
     pdf = spark.createDataFrame(pairs, "pid long, item long")
     nreq = spark.createDataFrame([(p, int(rng.integers(0, 7))) for p in list(range(60)) + [999]],
                                  "pid long, n long")
-    kw = {"plain": {}, "hot": dict(hot_rows=20, salts=3), "hot_eager": dict(hot_rows=20, salts=3, hot_check="eager"),
-          "eager": dict(hot_check="eager"),
+    kw = {"plain": {}, "hot": dict(hot_rows=20, salts=3),
           "large_catalogue": dict(broadcast_max_bytes=500), "small_batches": {}}[variant]
     if variant == "small_batches":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
