@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "setlist.plans.recsys",
     "setlist.plans.etl",
+    "setlist.plans.files",
 ]
 
 
