@@ -7,6 +7,12 @@ twice in the corpus are candidates; only their bytes are gathered and grouped
 (equal hash and equal bytes), the first occurrence by (doc_id, text hash,
 line) stays, every other one is cut out.
 
+``dedup_passages`` (the pipeline's stage) cuts repeated passages whole: its
+chunks are every two neighbouring non-blank lines with the blank ones between
+them, at every place of a text, so a passage needs no border inside it.  A
+line goes if such a pair that holds it occurred before; the first occurrence
+of any line stays.  ``dedup_lines`` keeps the law that op5's SQL states.
+
 Shuffles carry hashes of all chunks and the bytes of candidate chunks, never
 whole texts, unless the list of repeated hashes or of cuts outgrows the
 broadcast bound; then the join on it is shuffled.  Groups are counted and
@@ -24,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlist.llm.common import fresh, let, lines, materialize, small_side, table
+from setlist.llm.common import SPACE_CLASS, fresh, let, lines, materialize, small_side, table
 
 #: Line digests that decide about a border.
 WINDOW = 2
@@ -52,6 +58,37 @@ def chunks(text: Column, window: int = WINDOW) -> Column:
     return let(F.transform(lines(text), lambda x: F.md5(x)), hashed)
 
 
+def pairs(text: Column, body: bool = False) -> Column:
+    """Neighbouring non-blank lines with the blank ones between: structs of ``s``,
+    ``n`` and ``h``, and of ``body`` (the bytes) if asked for."""
+    def full(x):
+        return F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: F.get(x, i - 1).rlike(f"[^{SPACE_CLASS}]"))
+
+    def pair(at, b):
+        found = [at.alias("s"), F.size(b).alias("n"), F.xxhash64(b).alias("h")]
+        return F.struct(*found, *([F.array_join(b, "\n").alias("body")] if body else []))
+
+    def paired(x):
+        return let(full(x), lambda p: F.transform(
+            F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))),
+            lambda at, j: let(F.slice(x, at, F.get(p, j + 1) - at + 1), lambda b: pair(at, b))))
+
+    return let(lines(text), paired)
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted structs ``s``, ``n`` as disjoint ones; neither starts nor ends step back."""
+    def ends(x):
+        return x["s"] + x["n"]
+
+    def joined(c):
+        first = F.filter(c, lambda x, j: (j == 0) | (x["s"] > ends(F.get(c, j - 1))))
+        last = F.filter(c, lambda x, j: (j + 1 == F.size(c)) | (F.get(c, j + 1)["s"] > ends(x)))
+        return F.zip_with(first, last, lambda a, b: F.struct(a["s"].alias("s"), (ends(b) - a["s"]).alias("n")))
+
+    return let(spans, joined)
+
+
 def _kept_lines(all_lines: Column, cuts: Column) -> Column:
     """The lines outside ``cuts`` (sorted, disjoint structs ``s``, ``n``)."""
     end = F.array(F.struct((F.size(all_lines) + 1).alias("s"), F.lit(0).alias("n")))
@@ -68,15 +105,35 @@ def find_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id",
               window: int = WINDOW) -> DataFrame:
     """Per document with repeated chunks: ``k``, ``t`` (hash of its text) and
     ``cuts``, the occurrences that go (written)."""
-    keyed = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"),
-                        F.col(text).alias("x")).where(F.col("x").contains("\n"))
+    keyed = _keyed(docs, text, key)
     found = keyed.select("k", "t", "x", F.inline(chunks(F.col("x"), window)))
-    twice = materialize(found.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-                        .where("c > 1").select("h"))
+    twice = _twice(found)
     body = F.array_join(F.slice(lines(F.col("x")), F.col("s"), F.col("n")), "\n")
-    same = materialize(found.join(small_side(twice, 16), "h")
-                       .select("h", body.alias("body"), F.struct("k", "t", "s", "n").alias("at"))
-                       .withColumn("b", F.sha2("body", 256)))
+    return _later(found.join(small_side(twice, 16), "h")
+                  .select("h", body.alias("body"), F.struct("k", "t", "s", "n").alias("at")))
+
+
+def find_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """As ``find_cuts``, for every line of a passage that occurred before."""
+    keyed = _keyed(docs, text, key)
+    twice = _twice(keyed.select(F.inline(pairs(F.col("x")))))
+    found = keyed.select("k", "t", F.inline(pairs(F.col("x"), body=True)))
+    cuts = _later(found.join(small_side(twice, 16), "h").select("h", "body", F.struct("k", "t", "s", "n").alias("at")))
+    return cuts.withColumn("cuts", _merged(F.col("cuts")))
+
+
+def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
+    return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"),
+                       F.col(text).alias("x")).where(F.col("x").contains("\n"))
+
+
+def _twice(found: DataFrame) -> DataFrame:
+    return materialize(found.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"))
+
+
+def _later(candidates: DataFrame) -> DataFrame:
+    """Every occurrence (``at``) of a text but its first, by document (written)."""
+    same = materialize(candidates.withColumn("b", F.sha2("body", 256)))
     # Bytes are compared here: one group is one text; its occurrences shrink to the first per task.
     groups = (same.groupBy("h", "b", "body").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("c"))
               .where("c > 1").select("h", "b", "first"))
@@ -91,8 +148,18 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id",
                 window: int = WINDOW, count: str | None = None) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; ``count`` names a
     column for the number of lines cut."""
+    return _without(docs, find_cuts(docs, text, key, window), text, key, count)
+
+
+def dedup_passages(docs: DataFrame, text: str = "text", key: str = "doc_id",
+                   count: str | None = None) -> DataFrame:
+    """As ``dedup_lines``, for whole passages."""
+    return _without(docs, find_passages(docs, text, key), text, key, count)
+
+
+def _without(docs: DataFrame, found: DataFrame, text: str, key: str, count: str | None) -> DataFrame:
     k, t, c = (fresh(docs, n) for n in ("k", "t", "cuts"))
-    cuts = find_cuts(docs, text, key, window).toDF(k, t, c)
+    cuts = found.toDF(k, t, c)
     small = small_side(cuts, 256)
     small = small if small is not cuts else cuts.hint("shuffle_hash")
     joined = docs.withColumn(t + "x", F.xxhash64(text)).join(
