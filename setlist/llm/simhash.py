@@ -81,9 +81,10 @@ def fingerprint(text: str | None, size: int) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints = np.array([fingerprint(x.as_py(), size) for x in batch.column(1)], dtype=np.uint64)
+        *kept, texts = batch.columns
+        prints = np.array([fingerprint(x.as_py(), size) for x in texts], dtype=np.uint64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64), pa.int64())], names=["k", "fp"])
+            [*kept, pa.array(prints.view(np.int64), pa.int64())], names=[*batch.schema.names[:-1], "fp"])
 
 
 def fingerprints(docs: DataFrame, size: int, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -165,18 +166,26 @@ def components(pairs: DataFrame) -> DataFrame:
         edges = after
 
 
+def _check(max_bits: int) -> None:
+    if max_bits not in (0, 2, 4):
+        raise ValueError("max_bits must be 0, 2 or 4: crowded files meet halfway")
+
+
+def _rooted(grouped: DataFrame, max_bits: int) -> DataFrame:
+    """``grouped`` (one row per fingerprint ``fp``) with ``root``, one fingerprint of its component."""
+    reach = components(links(grouped, max_bits))
+    return grouped.join(reach.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text",
                     key: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: ``k`` (its key), ``fp`` and ``component`` (smallest key reachable)."""
-    if max_bits not in (0, 2, 4):
-        raise ValueError("max_bits must be 0, 2 or 4: crowded files meet halfway")
+    _check(max_bits)
     marked = docs.select(F.col(key).alias("k"), F.col(text).alias("x"))
     prints = materialize(fingerprints(marked, shingle, "x", "k"))
     least = prints.groupBy("fp").agg(F.min("k").alias("k"))
-    grouped = materialize(least)
-    reach = components(links(grouped, max_bits))
-    joined = grouped.join(reach.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
+    joined = _rooted(materialize(least), max_bits)
     named = joined.groupBy("root").agg(F.min("k").alias("component"))
     of_print = materialize(joined.join(named, "root").select("fp", "component"))
     return prints.join(of_print, "fp").select("k", "fp", "component")
@@ -184,17 +193,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
 
 def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text",
                 key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that name their component (smallest key).  Of rows
-    repeated with equal key and text one stays."""
-    found = near_duplicates(docs, shingle, max_bits, text, key)
-    k = fresh(docs, "k")
-    gone = materialize(found.where(~F.col("k").eqNullSafe(F.col("component"))).select(F.col("k").alias(k)).distinct())
-    kept = docs.join(small_side(gone, 16), F.col(key).eqNullSafe(F.col(k)), "left_anti")
-    twice = materialize(found.groupBy(F.col("k").alias(k)).count().where("count > 1").select(k))
+    """One document of each component of ``docs``: that of the smallest key
+    (nulls last), then text hash.  A document is a key with a text, so a null
+    or reused key takes no other text along; of its repeated rows one stays."""
+    _check(max_bits)
+    k, t = fresh(docs, "k"), fresh(docs, "t")
+    marked = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(text).alias("t"), F.col(text).alias("x"))
+    prints = materialize(marked.mapInArrow(lambda it: _fingerprints(it, shingle), "k long, t long, fp long"))
+    document = F.struct(F.col("k").isNull().alias("none"), F.col("k"), F.col("t"))
+    least = prints.groupBy("fp").agg(F.min(document).alias("d"))
+    joined = _rooted(materialize(least), max_bits)
+    heads = joined.groupBy("root").agg(F.min("d").alias("head"))
+    of_print = materialize(joined.join(heads, "root").select("fp", "head"))
+    found = prints.join(of_print, "fp")
+    gone = materialize(found.where(document != F.col("head")).select(
+        F.col("k").alias(k), F.col("t").alias(t)).distinct())
+    same = F.col(key).cast("long").eqNullSafe(F.col(k)) & (F.xxhash64(text) == F.col(t))
+    kept = docs.join(small_side(gone, 32), same, "left_anti")
+    twice = materialize(prints.groupBy(F.col("k").alias(k), F.col("t").alias(t)).count().where("count > 1").select(k, t))
     if twice.isEmpty():
         return kept
-    again = small_side(twice, 16)
-    same = F.col(key).eqNullSafe(F.col(k))
+    again = small_side(twice, 32)
     return kept.join(again, same, "left_anti").unionByName(
         kept.join(again, same, "left_semi").dropDuplicates([key, text]))
 

@@ -3,10 +3,9 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from setlist.llm import line_dedup
+from setlist.llm import line_dedup, simhash
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -48,3 +47,20 @@ def test_pipeline_cuts_whole_passages(spark, monkeypatch):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values() if r["text"] is not None)
     left = [x for r in got.values() for x in (r["text"] or "").split("\n") if x.startswith("passage")]
     assert sorted(left) == sorted(x for p in planted for x in p)
+
+
+def test_one_of_each_keeps_a_document_of_every_group(spark):
+    rng = random.Random(6)
+    far = [" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(60)) for c in "abcdef"]
+    near = " ".join(f"n{i}" for i in range(3000))
+    assert simhash.fingerprint(near, 3) != 0
+    rows = [(1, far[0]), (None, far[0]), (None, far[1]), (None, far[2]),  # a null id beside an id, and alone
+            (5, far[3]), (7, far[3]), (7, far[4]), (8, far[4]),  # id 7 with two texts
+            (None, near), (None, near + "  "), (None, near + "\n"),  # null ids only
+            (None, far[5]), (None, far[5])]
+    for bound in (1 << 20, -1):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr("setlist.llm.common.BROADCAST_BYTES", bound)
+            got = simhash.one_of_each(frame(spark, rows)).collect()
+        assert sorted((r["doc_id"] or 0, r["text"].strip()) for r in got) == sorted(
+            [(1, far[0]), (0, far[1]), (0, far[2]), (5, far[3]), (7, far[4]), (0, near), (0, far[5])])
