@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from setlist.llm import line_dedup, simhash
+from setlist.llm import line_dedup, simhash, wrappers
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,3 +64,17 @@ def test_one_of_each_keeps_a_document_of_every_group(spark):
             got = simhash.one_of_each(frame(spark, rows)).collect()
         assert sorted((r["doc_id"] or 0, r["text"].strip()) for r in got) == sorted(
             [(1, far[0]), (0, far[1]), (0, far[2]), (5, far[3]), (7, far[4]), (0, near), (0, far[5])])
+
+
+def texts(spark, pages):
+    """The main text of each of ``pages`` (url, html), in order."""
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(wrappers.extract(df).collect(), key=lambda r: r["page_id"])]
+
+
+def test_html_main_region_is_the_pages_own(spark):
+    inner = ["<article><p>Art {}</p></article>", "<main><p>Main {}</p></main>", "<div class=content><p>Div {}</p></div>", "<p>Body {}</p>"]
+    pages = [(url, "<body><nav>Menu</nav>" + inner[n % 4].format(n) + "</body>")
+             for url in ("http://mixed.example.org/", None) for n in range(40)]
+    want = [f"{('Art', 'Main', 'Div', 'Body')[n % 4]} {n}" for n in range(40)]
+    assert texts(spark, pages) == want * 2
