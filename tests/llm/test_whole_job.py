@@ -78,3 +78,17 @@ def test_html_main_region_is_the_pages_own(spark):
              for url in ("http://mixed.example.org/", None) for n in range(40)]
     want = [f"{('Art', 'Main', 'Div', 'Body')[n % 4]} {n}" for n in range(40)]
     assert texts(spark, pages) == want * 2
+
+
+def test_html_texts_that_meet_no_wrapper_element_stay(spark):
+    rng = random.Random(2)
+    pages, want = [], []
+    for n in range(150):
+        body, lines = "", [f"Title {n}"]
+        for j in range(rng.randrange(1, 6)):
+            for tag in rng.choice([["p"], ["h2", "p"], ["p", "h2", "p"], ["p", "p", "h2", "p"]]):
+                lines.append(f"{tag} {n} {j} {len(lines)}")
+                body += f"<{tag}>{lines[-1]}</{tag}>"
+        pages.append(("http://large.example.org/", f"<body><nav>Menu</nav><article><h1>{lines[0]}</h1>{body}</article><footer>End</footer></body>"))
+        want.append("\n".join(lines))
+    assert texts(spark, pages) == want
