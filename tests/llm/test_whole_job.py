@@ -92,3 +92,14 @@ def test_html_texts_that_meet_no_wrapper_element_stay(spark):
         pages.append(("http://large.example.org/", f"<body><nav>Menu</nav><article><h1>{lines[0]}</h1>{body}</article><footer>End</footer></body>"))
         want.append("\n".join(lines))
     assert texts(spark, pages) == want
+
+
+def test_html_copies_make_no_text_template(spark):
+    def page(n, extra="", ad=""):
+        return f"<body><div class=ad>Buy {ad}</div><article><h1>Head {n}</h1><p>Text {n}</p>{extra}</article></body>"
+
+    quote = "<blockquote>Quoted once</blockquote>"
+    pages = [page(1, quote)] * 9 + [page(1, quote, ad) for ad in range(9)] + [page(n) for n in range(2, 9)]
+    steady = [page(n, "<pre>Follow us</pre>") for n in range(30, 40)]
+    got = texts(spark, [("http://copies.example.org/", p) for p in pages] + [("http://steady.example.org/", p) for p in steady])
+    assert got == ["Head 1\nText 1\nQuoted once"] * 18 + [f"Head {n}\nText {n}" for n in (*range(2, 9), *range(30, 40))]
