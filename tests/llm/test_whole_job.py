@@ -103,3 +103,24 @@ def test_html_copies_make_no_text_template(spark):
     steady = [page(n, "<pre>Follow us</pre>") for n in range(30, 40)]
     got = texts(spark, [("http://copies.example.org/", p) for p in pages] + [("http://steady.example.org/", p) for p in steady])
     assert got == ["Head 1\nText 1\nQuoted once"] * 18 + [f"Head {n}\nText {n}" for n in (*range(2, 9), *range(30, 40))]
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<head><title>t</title><meta charset=utf-8>", ""),  # no </head>
+    ("<head><script>for(i=0;i<n;i++)s='it';t=\"don't\";</script></head>", ""),
+    ("<head><script>if(i<n)s=\"don't\";</script></head>", ""),
+    ("<head><noscript><link rel=x href=y></noscript><style>p{}</style>", ""),
+    ("<head><noscript><img src=x></head>", "<noscript>No script</noscript>"),
+    ("<head><title>t</title></head>", "<div><noscript><i>unclosed</div>"),
+    ("<head></head>", "<div><iframe src=x></div><iframe src=y></iframe>"),
+    ("<head></head>", "<svg><path d=z>"),
+    ("<head></head>", "<div><select><option>a<option>b</div><select></select>"),
+    ("<head></head>", "<div><canvas></div><canvas></canvas>"),
+    ("<head></head>", "<ul><li><noscript><ul><li>No script</li></ul></noscript></li></ul><svg><svg></svg><text>No</text></svg>"),
+    ("<head></head>", "<template><script>'</template>'</script><p>No</p></template>"),
+])
+def test_html_silent_elements_end(before, after):
+    page = f"<html>{before}<body>{after}<p>It's the first.</p><p>The second, don't miss it.</p></body></html>"
+    found = wrappers.stream(page)[1]
+    assert found[-2:] == ["It's the first.", "The second, don't miss it."]
+    assert not {"No", "No script", "t", "a", "b"} & set(found)
