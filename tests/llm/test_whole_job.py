@@ -124,3 +124,26 @@ def test_html_silent_elements_end(before, after):
     found = wrappers.stream(page)[1]
     assert found[-2:] == ["It's the first.", "The second, don't miss it."]
     assert not {"No", "No script", "t", "a", "b"} & set(found)
+
+
+@pytest.mark.parametrize("opening, closing", [
+    ("<form id=aspnetForm>", "</form>"), ("<div class='layout has-sidebar'>", "</div>"), ("<div class=no-sidebar>", "</div>"),
+    ("<div class='page-with-banner'>", "</div>"), ("<div class='sidebar'><form>", "</form></div>"),
+])
+@pytest.mark.parametrize("inner", ["<main>{}</main>", "<article>{}</article>", "<div><h1>Title</h1>{}</div>", "{}"])
+def test_html_page_wide_wrappers_are_not_apart(opening, closing, inner):
+    story = "<p>The story is told here at some length.</p><p>It ends.</p>"
+    apart = ("<nav>Menu</nav><aside><p>Aside</p></aside><div class=newsletter><p>Mail us</p></div>"
+             "<div id=comments><article><p>Nice</p></article></div>")
+    out, found = wrappers.stream(f"<body>{opening}{apart}{inner.format(story)}{closing}</body>")
+    main = wrappers._main(out)
+    kept = [e[1] for e in out if e[0] == "x" and e[2] == main]
+    assert [x for x in kept if x != "Title"] == ["The story is told here at some length.", "It ends."]
+
+
+def test_html_small_forms_and_comments_stay_apart():
+    for page in ("<p>Body text here</p><form><label>Mail</label><p>Subscribe now to a long list of news</p></form>",
+                 "<article><p>Body text here</p></article><div id=comments><article><p>Longer than the article by far</p></article></div>",
+                 "<p>Body text here</p><div class=related><article>Teaser</article></div>"):
+        out, _ = wrappers.stream(page)
+        assert [e[1] for e in out if e[0] == "x" and e[2] == wrappers._main(out)] == ["Body text here"]
