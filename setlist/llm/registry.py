@@ -7,7 +7,7 @@ import importlib
 import corpus_pipeline
 
 _MODULES = ["packing", "token_counts", "neighbours", "wrappers", "line_dedup", "sharding", "mixing", "simhash", "quality",
-            "suffix_dedup", "url_rules", "manifest"]
+            "suffix_dedup", "url_rules", "manifest", "trie"]
 
 
 def _collect(attr: str) -> dict:
