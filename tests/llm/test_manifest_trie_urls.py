@@ -141,21 +141,27 @@ def trie_by_hand(rows):
             convs[c].append((turn is not None, turn or 0, tie, role, text))
     for c in convs:
         convs[c] = [x[3:] for x in sorted(convs[c])]
-    members, size = defaultdict(list), {}
+    members, size, ids = defaultdict(list), {}, {(): 0}
+    above, last, depth = {0: None}, {0: ""}, {0: 0}
     for c, own in convs.items():
         h = zlib.crc32(str(c).encode()) % 6
         turns = convs.get(c - c % 100, [])[:h] + own[h:]
-        size[c] = len(turns)
-        for d in range(len(turns) + 1):
-            members[tuple(turns[:d])].append(c)
-    kids = Counter(p[:-1] for p in members if p)
+        size[c], node = len(turns), 0
+        members[0].append(c)
+        for turn in turns:
+            up, node = node, ids.setdefault((node, turn), len(ids))
+            above[node], last[node], depth[node] = up, turn[1], depth[up] + 1
+            members[node].append(c)
+    kids = Counter(above.values())
     leaves, saved = Counter(), Counter()
     for p, m in members.items():
-        for d in range(len(p) + 1):
-            leaves[p[:d]] += p not in kids
-            saved[p[:d]] += (len(m) - 1) * (len(p[-1][1]) if p else 0)
-    return Counter((min(m), len(p), min(members[p[:-1]]) if p else None, len(m), kids[p], leaves[p], saved[p],
-                    sha(",".join(map(str, sorted(c for c in m if size[c] == len(p)))))) for p, m in members.items())
+        at = p
+        while at is not None:
+            leaves[at] += p not in kids
+            saved[at] += (len(m) - 1) * len(last[p])
+            at = above[at]
+    return Counter((min(m), depth[p], min(members[above[p]]) if p else None, len(m), kids[p], leaves[p], saved[p],
+                    sha(",".join(map(str, sorted(c for c in m if size[c] == depth[p]))))) for p, m in members.items())
 
 
 def conversations():
