@@ -211,9 +211,9 @@ def manifest(docs: DataFrame, seen: dict[str, Column] | None = None, key: str =
     subroots = roots(logs, bits).select(F.lit("").alias("tree"), F.lit(0).cast("long").alias("key"), F.col("tree").alias("name"),
                                         F.col("digest").alias("leaf"), none.alias("seen"))
     top_logs, top_inputs = build(subroots, bits)
-    whole = roots(top_logs, bits).select(F.col("digest").alias("root"))
-    trees = materialize(proofs(top_logs, top_inputs, bits).crossJoin(F.broadcast(whole))  # one row
-                        .select(F.col("name").alias("tree"), F.col("leaf").alias("subroot"), "root", F.col("path").alias("above")))
+    root = roots(top_logs, bits).select("digest").scalar()
+    trees = materialize(proofs(top_logs, top_inputs, bits).select(
+        F.col("name").alias("tree"), F.col("leaf").alias("subroot"), root.alias("root"), F.col("path").alias("above")))
     held = trees.agg(F.sum(F.octet_length("tree") + 300 + 70 * F.size("above"))).first()[0] or 0
     trees = F.broadcast(trees) if held <= BROADCAST_BYTES else trees
     return paths.join(trees, "tree").select("tree", "key", "leaf", "seen", "index", "subroot", "root", F.concat("path", "above").alias("path"))
