@@ -8,6 +8,7 @@ _MODULES = [
     "setlist.plans.recsys",
     "setlist.plans.etl",
     "setlist.plans.files",
+    "setlist.plans.records",
 ]
 
 
