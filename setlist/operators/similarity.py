@@ -11,11 +11,9 @@ query vectors with an item matrix and keeps only the top ``k`` per query:
 * ``broadcast`` — the item matrix goes out once per executor.  Only used after
   counting the items and checking ``rows x features x 8`` bytes against
   ``broadcast_max_bytes``.
-* ``tiled`` — items are hashed into tiles, queries into blocks; each
-  (block, tile) pair is one cogroup whose size is bounded by construction
-  (the classic blocked matrix product).  The top ``k`` of every tile are then
-  merged per query with a window whose partition holds at most
-  ``tiles x k`` rows.
+* ``tiled`` — the catalogue is written in tiles of that size, which are
+  broadcast one after the other; the top ``k`` of a query run along as arrays
+  (:mod:`setlist.operators.tiles`).
 
 Ties are broken by item id ascending; results are ordered by cosine
 descending.  Zero vectors score 0 against everything (as the reference's
@@ -292,50 +290,19 @@ def _broadcast_candidates(queries: DataFrame, items: DataFrame, feature_cols, qu
     return queries.mapInPandas(score, _candidate_schema(queries, items, query_col))
 
 
-def _tiled_candidates(queries: DataFrame, items: DataFrame, feature_cols, query_col,
-                      n_items: int, tile_rows: int, qblock_rows: int):
-    n_tiles = max(1, math.ceil(n_items / tile_rows))
-    # Written once: the block count needs the query count, and counting the
-    # lazy plan would run the whole query-vector aggregation twice.
-    queries = materialize(queries)
-    n_queries = queries.count()
-    n_blocks = max(1, math.ceil(n_queries / qblock_rows))
-    fcols = list(feature_cols)
-    q = (queries
-         .withColumn("_qb", F.pmod(F.xxhash64(F.col(query_col)), F.lit(n_blocks)))
-         .withColumn("_tile", F.explode(F.sequence(F.lit(0), F.lit(n_tiles - 1)).cast("array<long>"))))
-    it = (items
-          .withColumn("_tile", F.pmod(F.xxhash64(F.col("item")), F.lit(n_tiles)))
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<long>"))))
-
-    def score(qpdf: pd.DataFrame, ipdf: pd.DataFrame) -> pd.DataFrame:
-        if len(qpdf) == 0 or len(ipdf) == 0:
-            return _score_frame(qpdf[query_col].to_numpy()[:0], np.zeros(0, np.int64),
-                                np.zeros(0, np.int64), np.zeros((0, len(fcols))), ipdf["item"].to_numpy()[:0],
-                                np.zeros((0, len(fcols))), query_col)
-        ipdf = ipdf.sort_values("item", kind="stable")
-        xn = _normalise(ipdf[fcols].to_numpy(dtype=np.float64))
-        return _score_frame(qpdf[query_col].to_numpy(), qpdf["_k"].to_numpy(np.int64),
-                            qpdf["_n"].to_numpy(np.int64), qpdf[fcols].to_numpy(dtype=np.float64),
-                            ipdf["item"].to_numpy(), xn, query_col)
-
-    return (q.groupBy("_qb", "_tile")
-            .cogroup(it.groupBy("_qb", "_tile"))
-            .applyInPandas(score, _candidate_schema(queries, items, query_col))), n_tiles
-
-
 def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str], *,
               query_col: str = "pid", exclude: DataFrame | None = None,
               strategy: str = "auto",
               broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-              tile_rows: int | None = None, qblock_rows: int = 8192,
+              tile_rows: int | None = None, qblock_rows: int | None = None,
               item_stats: tuple[int, int] | None = None) -> DataFrame:
     """Top-``n`` items by cosine similarity for every query vector.
 
     ``queries``: ``(query_col, *feature_cols[, n column])`` — e.g. the output
     of :func:`query_vectors`.  ``items``: ``(item, *feature_cols)`` from
     :func:`item_vectors`.  ``n``: an int, or the name of a per-row column of
-    ``queries`` (R5).  ``exclude``: optional ``(query_col, item)`` pairs that
+    ``queries`` (R5).  ``tile_rows`` sets the size of a tile in rows (``qblock_rows``
+    is not needed any more).  ``exclude``: optional ``(query_col, item)`` pairs that
     must not be recommended (``exclude_seen=True``; without it the query's own
     items stay candidates, as in the reference, D1).
 
@@ -348,10 +315,12 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
         nk = F.lit(int(n)).cast("long")
     q = queries.select(query_col, *feature_cols, F.greatest(nk, F.lit(0)).alias("_n"))
     if exclude is not None:
-        # Keep n + (number of excluded items) per query: at most that many
-        # excluded items can rank above the n-th allowed one, so the cut is exact.
+        # Keep n + (catalogue rows of excluded items) per query: at most that many
+        # excluded rows can rank above the n-th allowed one, so the cut is exact.
         ex = exclude.select(query_col, "item").distinct()
-        m = ex.groupBy(query_col).agg(F.count(F.lit(1)).alias("_m"))
+        copies = items.groupBy("item").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1)
+        m = (ex.join(copies, "item", "left").groupBy(query_col)
+             .agg(F.sum(F.coalesce("_c", F.lit(1))).alias("_m")))
         q = q.join(m, query_col, "left").withColumn(
             "_k", F.col("_n") + F.coalesce(F.col("_m"), F.lit(0))).drop("_m")
     else:
@@ -365,26 +334,30 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
         if item_bytes > broadcast_max_bytes:
             raise ValueError(f"item matrix of {item_bytes} bytes exceeds broadcast_max_bytes")
         cand = _broadcast_candidates(q, items, feature_cols, query_col)
-        n_tiles = 1
     elif strategy == "tiled":
-        rows = tile_rows or max(1, broadcast_max_bytes // ((len(feature_cols) + 1) * 8))
-        cand, n_tiles = _tiled_candidates(q, items, feature_cols, query_col,
-                                          n_items, rows, qblock_rows)
+        from setlist.operators import tiles
+
+        n_tiles = math.ceil(n_items / tile_rows) if tile_rows else tiles.tile_count(n_items, item_bytes, broadcast_max_bytes)
+        cand = tiles.best(q, items, feature_cols, query_col, max(1, n_tiles))
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
 
-    need_rerank = n_tiles > 1 or exclude is not None
-    if not need_rerank:
+    if exclude is None:
         return cand.select(query_col, "rank", "item", "cosine")
 
-    if exclude is not None:
-        cand = cand.join(ex, [query_col, "item"], "left_anti")
+    cand = cand.join(ex, [query_col, "item"], "left_anti")
     w = Window.partitionBy(query_col).orderBy(F.desc("cosine"), F.asc("item"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))
             .filter(F.col("rank") <= F.col("_n"))
             .select(query_col, "rank", "item", "cosine"))
 
 
+def _tiled_means(ids: DataFrame, items: DataFrame, feature_cols, query_col, sizes) -> DataFrame:
+    from setlist.operators import tiles
+
+    return tiles.means(ids, items, feature_cols, query_col, tiles.tile_count(*sizes))
+
+
 # ------------------------------------------------------ R3 + R4 fused ---
 def _item_broadcast(items: DataFrame, feature_cols: list[str]):
     """Broadcast of the (size-checked) item matrix for the fused kernel:
@@ -487,9 +460,12 @@ def recommend_from_pairs(pairs: DataFrame, items: DataFrame, n, feature_cols: li
         nreq = None
 
     def classic(sub: DataFrame) -> DataFrame:
-        qv = query_vectors(sub, items, feature_cols, query_col, pairs_distinct=True,
-                           item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
-                           hot_rows=hot_rows, salts=salts)
+        if item_bytes > broadcast_max_bytes:
+            qv = _tiled_means(sub, items, feature_cols, query_col, (n_items, item_bytes, broadcast_max_bytes))
+        else:
+            qv = query_vectors(sub, items, feature_cols, query_col, pairs_distinct=True,
+                               item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
+                               hot_rows=hot_rows, salts=salts)
         ncol = int(n) if nreq is None else "_n"
         if nreq is not None:
             qv = qv.join(nreq, query_col)
@@ -594,9 +570,7 @@ def query_means_from_pairs(pairs: DataFrame, items: DataFrame, feature_cols: lis
     if not pairs_distinct:
         ids = ids.distinct()
     if item_bytes > broadcast_max_bytes:
-        return query_vectors(ids, items, feature_cols, query_col, pairs_distinct=True,
-                             item_bytes=item_bytes, broadcast_max_bytes=broadcast_max_bytes,
-                             hot_rows=hot_rows, salts=salts)
+        return _tiled_means(ids, items, feature_cols, query_col, (n_items, item_bytes, broadcast_max_bytes))
     hot = _hot_queries(ids, query_col, hot_rows)
     cold = ids if hot is None else ids.join(hot, query_col, "left_anti")
     cold = cold.repartition(_compute_partitions(ids), query_col).sortWithinPartitions(query_col)

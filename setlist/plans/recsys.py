@@ -183,6 +183,27 @@ def q_cosine_topn_excluding_seen(spark, sf_dir):
                                          exclude_seen=True, item_stats=stats))
 
 
+#: Tiles that the catalogue is cut into where a query shows the path for any size.
+TILES = 4
+
+
+@register("cosine_topn_tiled", SQL_COSINE_TOPN)
+def q_cosine_topn_tiled(spark, sf_dir):
+    """R3 + R4 with a broadcast bound of a quarter of the catalogue."""
+    items, cols, stats = _items(spark, sf_dir)
+    train = _train(_split(spark, sf_dir))
+    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True, item_stats=stats,
+                                         broadcast_max_bytes=-(-stats[1] // TILES)))
+
+
+@register("cosine_topn_excluding_seen_tiled", SQL_COSINE_TOPN_EX)
+def q_cosine_topn_excluding_seen_tiled(spark, sf_dir):
+    items, cols, stats = _items(spark, sf_dir)
+    train = _train(_split(spark, sf_dir))
+    return _rounded(recommend_from_pairs(train, items, TOP_N, cols, pairs_distinct=True, exclude_seen=True,
+                                         item_stats=stats, broadcast_max_bytes=-(-stats[1] // TILES)))
+
+
 @register("recommend_batch_variable_n", SQL_VARIABLE_N)
 def q_recommend_batch_variable_n(spark, sf_dir):
     """Per-row n — each playlist asks for as many items as it has known train items."""
