@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from setlist._workers import ship_by_value
+from setlist.operators import similarity as core
 from setlist.operators.similarity import item_matrix_bytes, recommend_from_pairs
 
+ship_by_value(__name__)
+
 
 def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFrame:
     """Distinct recommended ∩ held-out over the number of held-out rows.
@@ -27,22 +34,111 @@ def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFr
 
 def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *,
              query_col: str = "pid", item_col: str = "item", exclude_seen: bool = False,
-             item_stats: tuple[int, int] | None = None, **recommend_args) -> DataFrame:
+             item_stats: tuple[int, int] | None = None, hot_rows: int = core.HOT_QUERY_ROWS,
+             broadcast_max_bytes: int = core.DEFAULT_BROADCAST_MAX_BYTES, **recommend_args) -> DataFrame:
     """R7/R8 over every split playlist: n = size of its held-out part.
 
     ``split_long``: ``(query, item, part)`` with part in {train, test}.
     Returns ``(query, n_test, n_known, hits, hit_rate)``; playlists whose train
     items are all unknown get no recommendations, ``n_known`` 0 and hit rate 0
-    (D5); an empty held-out part gives a null hit rate (D3).
+    (D5); an empty held-out part gives a null hit rate (D3); rows without a
+    playlist id belong to none.
+
+    One shuffle by playlist: its train and held-out rows, tagged and sorted,
+    meet in one kernel that forms the mean, ranks the candidates and counts the
+    hits.  Playlists above ``hot_rows`` rows (looked for only where there are
+    so many rows at all) and catalogues above ``broadcast_max_bytes`` are
+    evaluated by joins over the salted and tiled operators.
     """
-    s = split_long.select(F.col(query_col), F.col(item_col).alias("item"), "part")
-    train = s.filter(F.col("part") == "train").drop("part")
-    test = s.filter(F.col("part") == "test").drop("part")
+    s = split_long.filter(F.col(query_col).isNotNull()).select(F.col(query_col), F.col(item_col).alias("item"), "part")
     if item_stats is None:
         item_stats = item_matrix_bytes(items, feature_cols)
+
+    def joined(rows: DataFrame) -> DataFrame:
+        return _evaluate_by_joins(rows, items, feature_cols, query_col, exclude_seen, item_stats=item_stats,
+                                  hot_rows=hot_rows, broadcast_max_bytes=broadcast_max_bytes, **recommend_args)
+
+    if item_stats[1] > broadcast_max_bytes:
+        return joined(s)
+    hot = core._hot_queries(s, query_col, hot_rows) if s.count() > hot_rows else None
+    cold = s if hot is None else s.join(hot, query_col, "left_anti")
+    out = _evaluate_in_one_pass(cold, items, feature_cols, query_col, exclude_seen)
+    return out if hot is None else out.unionByName(joined(s.join(hot, query_col)))
+
+
+_TRAIN, _TEST, _OTHER = 0, 1, 2
+
+
+def _evaluate_in_one_pass(s: DataFrame, items: DataFrame, feature_cols, query_col: str, exclude_seen: bool) -> DataFrame:
+    role = F.when(F.col("part") == "train", _TRAIN).when(F.col("part") == "test", _TEST).otherwise(_OTHER)
+    kind = items.schema["item"].dataType
+    # A null item is no item: it counts among the held-out rows only.
+    tagged = s.select(query_col, role.alias("_role"), F.col("item").isNotNull().alias("_has"),
+                      F.coalesce(F.col("item").cast(kind), F.lit("0").cast(kind)).alias("item"))
+    rows = (tagged.repartition(core._compute_partitions(s), query_col)
+            .sortWithinPartitions(query_col, "_role", "_has", "item"))
+    held = core._item_broadcast(items, feature_cols)
+    schema = T.StructType([s.schema[query_col], *[T.StructField(c, T.LongType()) for c in ("n_test", "n_known", "hits")],
+                           T.StructField("hit_rate", T.DoubleType())])
+
+    def run(batches):
+        for chunk in core._sorted_batches(batches, query_col):
+            yield _scored(chunk, held.value, query_col, exclude_seen)
+
+    return rows.mapInPandas(run, schema)
+
+
+def _scored(chunk: pd.DataFrame, catalogue, query_col: str, exclude_seen: bool) -> pd.DataFrame:
+    """Hits of whole playlists, whose rows stand together: train items first, each in item order."""
+    ids, unit, uniq, sums, copies = catalogue
+    q, item, role = chunk[query_col].to_numpy(), chunk["item"].to_numpy(), chunk["_role"].to_numpy()
+    first = np.r_[True, q[1:] != q[:-1]]
+    group = np.cumsum(first) - 1
+    n = int(group[-1]) + 1
+    n_test = np.bincount(group[role == _TEST], minlength=n)
+    # Distinct known rows of either part, as (group, place among the distinct ids).
+    at = np.minimum(np.searchsorted(uniq, item), max(len(uniq) - 1, 0))
+    new = np.r_[True, (item[1:] != item[:-1]) | (role[1:] != role[:-1]) | first[1:]]
+    known = new & chunk["_has"].to_numpy(bool) & (uniq[at] == item if len(uniq) else np.zeros(len(item), bool))
+    train, test = known & (role == _TRAIN), known & (role == _TEST)
+    n_known = np.bincount(group[train], weights=copies[at[train]], minlength=n).astype(np.int64)
+    asked = np.flatnonzero((n_known > 0) & (n_test > 0))
+    hits = np.zeros(n, dtype=np.int64)
+    if len(asked):
+        starts = np.searchsorted(group[train], np.flatnonzero(n_known > 0))
+        means = np.add.reduceat(sums[at[train]], starts, axis=0)[n_test[n_known > 0] > 0] / n_known[asked, None]
+        vectors = core._normalise(means)
+        place = np.searchsorted(uniq, ids)  # of every candidate among the distinct ids
+        row_of = np.full(n, -1)
+        row_of[asked] = np.arange(len(asked))
+        wanted = np.unique(group[test].astype(np.int64) * len(uniq) + at[test])
+        seen_row, seen_at = row_of[group[train]], at[train]
+        low, high = np.searchsorted(ids, uniq, "left"), np.searchsorted(ids, uniq, "right")
+        block = max(1, core.SCORE_BLOCK_BYTES // (8 * len(ids)))
+        for s in range(0, len(asked), block):
+            scores = vectors[s:s + block] @ unit.T
+            if exclude_seen:
+                mine = (seen_row >= s) & (seen_row < s + block)
+                r, a = seen_row[mine] - s, seen_at[mine]
+                width = high[a] - low[a]
+                cells = np.repeat(low[a] - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum())
+                scores[np.repeat(r, width), cells] = -np.inf
+            r, c, v, _ = core._topk_rows(scores, n_test[asked[s:s + block]])
+            r, c = r[np.isfinite(v)], c[np.isfinite(v)]
+            found = np.unique(asked[s + r].astype(np.int64) * len(uniq) + place[c])
+            hits += np.bincount(found[np.isin(found, wanted)] // len(uniq), minlength=n)
+    rate = np.where(n_test > 0, hits / np.maximum(n_test, 1), np.nan)
+    return pd.DataFrame({query_col: q[first], "n_test": n_test, "n_known": n_known, "hits": hits,
+                         "hit_rate": pd.Series(rate, dtype=object).where(n_test > 0, None)})
+
+
+def _evaluate_by_joins(s: DataFrame, items: DataFrame, feature_cols, query_col: str, exclude_seen: bool,
+                       **recommend_args) -> DataFrame:
+    train = s.filter(F.col("part") == "train").drop("part")
+    test = s.filter(F.col("part") == "test").drop("part")
     n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n"))
     recs = recommend_from_pairs(train, items, n_test, feature_cols, query_col=query_col,
-                                exclude_seen=exclude_seen, item_stats=item_stats, **recommend_args)
+                                exclude_seen=exclude_seen, **recommend_args)
     # Known train items per playlist: a narrow id-only join, no feature columns.
     known = (train.distinct().join(items.select("item"), "item")
              .groupBy(query_col).agg(F.count(F.lit(1)).alias("n_known")))

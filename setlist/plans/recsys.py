@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from setlist.operators.evaluate import evaluate
-from setlist.operators.similarity import (item_matrix_bytes, query_means_from_pairs,
+from setlist.operators.similarity import (item_matrix_bytes, item_vectors, query_means_from_pairs,
                                           recommend_from_pairs)
 from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
-                                  playlist_pairs)
+                                  playlist_pairs, table)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -236,6 +236,65 @@ def q_evaluate_sample(spark, sf_dir):
     return evaluate(split.join(chosen, "pid", "left_semi"), items, cols, item_stats=stats)
 
 
+# Playlists whose items are alike, so that held-out items are found: a part is described by its
+# brand, type and size, a playlist holds the parts of one brand and one length of type.
+_BRAND, _KIND = "CAST(replace(p_brand, 'Brand#', '') AS INT)", "length(p_type)"
+_LIST = f"CAST({_BRAND} * 10 + {_KIND} AS BIGINT)"
+KIND_DIMS = 11
+_KIND_FEATURES = [f"CAST(({_BRAND} * {j + 3}) % 11 - 5 + ({_KIND} * {j + 1}) % 5 * 0.5 + p_size * {j % 3} * 0.01 AS DOUBLE)"
+                  for j in range(KIND_DIMS)]
+
+_SQL_KIND = f"""WITH embeddings AS (SELECT p_partkey AS vec_id, list_value({", ".join(_KIND_FEATURES)}) AS embedding FROM part),
+pairs AS (SELECT DISTINCT {_LIST} AS pid, p_partkey AS item FROM part),""" + SQL_SPLIT.split("FROM lineitem),")[1] + f""",
+qv AS (SELECT s.pid, list_value({", ".join(f"avg(e.embedding[{i + 1}])" for i in range(KIND_DIMS))}) AS q, count(*) AS n_known
+       FROM split s JOIN embeddings e ON e.vec_id = s.item WHERE s.part = 'train' GROUP BY s.pid)"""
+
+
+def _sql_kind(exclude: bool, sample: str = "") -> str:
+    return _SQL_KIND + _SQL_EVAL_TAIL.format(topn=_sql_topn("nt.n_test", exclude, qv_join="JOIN nt ON nt.pid = qv.pid"), sample=sample)
+
+
+def _kind_split(spark, sf_dir):
+    """Split, items, feature names and checked size of the playlists by kind."""
+    part = table(spark, sf_dir, "part")
+    split = holdout_split(part.select(F.expr(_LIST).alias("pid"), F.col("p_partkey").alias("item")).distinct(), "pid", "item", TEST_FRAC, SEED)
+    cols = [f"f{j}" for j in range(KIND_DIMS)]
+    wide = part.select("p_partkey", *[F.expr(e).alias(c) for e, c in zip(_KIND_FEATURES, cols)])
+    items = item_vectors(wide, "p_partkey", cols)
+    return materialize(split), items, cols, item_matrix_bytes(items, cols)
+
+
+@register("hit_rate_by_kind", _sql_kind(False))
+def q_hit_rate_by_kind(spark, sf_dir):
+    """A9, R7 where recommendations hit: its own train items compete."""
+    split, items, cols, stats = _kind_split(spark, sf_dir)
+    return evaluate(split, items, cols, item_stats=stats)
+
+
+@register("hit_rate_by_kind_excluding_seen", _sql_kind(True))
+def q_hit_rate_by_kind_excluding_seen(spark, sf_dir):
+    split, items, cols, stats = _kind_split(spark, sf_dir)
+    return evaluate(split, items, cols, exclude_seen=True, item_stats=stats)
+
+
+@register("hit_rate_by_kind_tiled", _sql_kind(True))
+def q_hit_rate_by_kind_tiled(spark, sf_dir):
+    """The same with a broadcast bound of a quarter of the catalogue: joins over the tiled operators."""
+    split, items, cols, stats = _kind_split(spark, sf_dir)
+    return evaluate(split, items, cols, exclude_seen=True, item_stats=stats, broadcast_max_bytes=-(-stats[1] // TILES))
+
+
+KIND_SAMPLE = 20
+
+
+@register("evaluate_sample_by_kind", _sql_kind(True, f"ORDER BY {_SAMPLE_ORDER} LIMIT {KIND_SAMPLE}"))
+def q_evaluate_sample_by_kind(spark, sf_dir):
+    """A seeded sample of KIND_SAMPLE playlists (the sample is the feature)."""
+    split, items, cols, stats = _kind_split(spark, sf_dir)
+    chosen = sample_n(split.select("pid").distinct(), KIND_SAMPLE, ["pid"], SEED)
+    return evaluate(split.join(chosen, "pid", "left_semi"), items, cols, exclude_seen=True, item_stats=stats)
+
+
 @register("query_vectors", SQL_QUERY_VECTORS)
 def q_query_vectors(spark, sf_dir):
     """R3 in long form (pid, dim, value)."""
