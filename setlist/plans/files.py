@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from setlist.functions.flatten import flatten_paths, rename_select
 from setlist.functions.scalars import ceil_div, to_json_text
+from setlist.operators import store
 from setlist.operators.clean import collect_items, playlist_items_long
 from setlist.operators.split import holdout_split, range_layout
 from setlist.operators.upsert import read_store, write_upsert
@@ -212,6 +213,51 @@ def q_upsert_store(spark, sf_dir):
     return read_store(spark, path)
 
 
+#: Rows of a range of the stored parts, so that the table is split and split again as it grows.
+STORE_ROWS = 500
+
+
+def _versioned(spark, sf_dir) -> str:
+    """Three versions: the parts, a third of them replaced and as many keys added, one key changed."""
+    path = _folder(spark)
+    first = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_retailprice").alias("price"),
+                                                F.lit(1).alias("version"))
+    store.upsert(spark, path, first, "p_partkey", "version", max_rows=STORE_ROWS)
+    third = first.filter("p_partkey % 3 = 0").withColumn("price", F.col("price") * 2).withColumn("version", F.lit(2))
+    more = third.unionByName(third.select((-1 - F.col("p_partkey")).alias("p_partkey"), "price", "version"), allowMissingColumns=True)
+    store.upsert(spark, path, more, "p_partkey", "version", max_rows=STORE_ROWS)
+    store.upsert(spark, path, first.where("p_partkey = 1").select("p_partkey", F.lit(3).alias("version"), F.lit("new").alias("note")), "p_partkey",
+                 max_rows=STORE_ROWS)
+    return path
+
+
+@register("versioned_store", """
+SELECT p_partkey, CASE WHEN p_partkey = 1 THEN NULL ELSE p_name END AS p_name,
+       CASE WHEN p_partkey = 1 THEN NULL WHEN p_partkey % 3 = 0 THEN p_retailprice * 2 ELSE p_retailprice END AS price,
+       CASE WHEN p_partkey = 1 THEN 3 WHEN p_partkey % 3 = 0 THEN 2 ELSE 1 END AS version,
+       CASE WHEN p_partkey = 1 THEN 'new' END AS note FROM part
+UNION ALL SELECT -1 - p_partkey, NULL, p_retailprice * 2, 2, NULL FROM part WHERE p_partkey % 3 = 0""")
+def q_versioned_store(spark, sf_dir):
+    """K7 with a manifest: the newest version after three upserts."""
+    return store.read(spark, _versioned(spark, sf_dir))
+
+
+@register("versioned_store_history", """
+SELECT 1 AS of_version, count(*) AS n_rows, CAST(sum(1) AS BIGINT) AS marks, round(sum(p_retailprice), 2) AS price FROM part
+UNION ALL SELECT 2, count(*) + count(*) FILTER (WHERE p_partkey % 3 = 0),
+       CAST(sum(CASE WHEN p_partkey % 3 = 0 THEN 4 ELSE 1 END) AS BIGINT),
+       round(sum(CASE WHEN p_partkey % 3 = 0 THEN 4 * p_retailprice ELSE p_retailprice END), 2) FROM part
+UNION ALL SELECT 3, count(*) + count(*) FILTER (WHERE p_partkey % 3 = 0),
+       CAST(sum(CASE WHEN p_partkey = 1 THEN 3 WHEN p_partkey % 3 = 0 THEN 4 ELSE 1 END) AS BIGINT),
+       round(sum(CASE WHEN p_partkey = 1 THEN 0 WHEN p_partkey % 3 = 0 THEN 4 * p_retailprice ELSE p_retailprice END), 2) FROM part""")
+def q_versioned_store_history(spark, sf_dir):
+    """K7: what a reader of each version sees after all upserts."""
+    path = _versioned(spark, sf_dir)
+    seen = [store.read(spark, path, v).agg(F.lit(v).alias("of_version"), F.count(F.lit(1)).alias("n_rows"), F.sum("version").alias("marks"),
+                                           F.round(F.sum("price"), 2).alias("price")) for v in store.versions(spark, path)]
+    return seen[0].unionAll(seen[1]).unionAll(seen[2])
+
+
 @register("split_by_position", f"""
 SELECT pid, entry, item, CASE WHEN rk <= ceil(sz * {TEST_FRAC}) THEN 'test' ELSE 'train' END AS part FROM (
   SELECT pid, entry, item,
