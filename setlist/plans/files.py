@@ -19,6 +19,7 @@ from setlist.functions.flatten import flatten_paths, rename_select
 from setlist.functions.scalars import ceil_div, to_json_text
 from setlist.operators import store
 from setlist.operators.clean import collect_items, playlist_items_long
+from setlist.operators.ledger import enrich_with_ledger, ledger_schema, report
 from setlist.operators.split import holdout_split, range_layout
 from setlist.operators.upsert import read_store, write_upsert
 from setlist.plans.jobs import LIKED_RENAMES, select_playlist_features
@@ -30,6 +31,9 @@ from setlist.sinks.writers import (append_parquet, save_csv, save_json_lines, sa
 from setlist.sources.readers import (read_csv, read_json_lines, read_liked_pages, read_or_empty,
                                      read_parquet, read_raw_slices, read_text_lines)
 from setlist.streaming.incremental import clean_batch
+from setlist._workers import ship_by_value
+
+ship_by_value(__name__)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -213,6 +217,41 @@ def q_upsert_store(spark, sf_dir):
     return read_store(spark, path)
 
 
+_WANTED_IDS = "SELECT DISTINCT 2 * l_partkey AS id FROM lineitem WHERE l_returnflag = 'R'"
+
+
+def _by_id(ids: list, rows) -> list:
+    """The stored records of the ids of one call, in their order."""
+    found = {r["id"]: r for r in rows.to_dict("records")}
+    return [found.get(i) for i in ids]
+
+
+def _ledgered(spark, sf_dir) -> tuple[DataFrame, str, T.StructType]:
+    """Two runs that share half of their ids over one ledger: the second asks for the rest only."""
+    path = _folder(spark)
+    ids = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select((2 * F.col("l_partkey")).alias("id"))
+    records = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_type", "p_size")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("p_type", T.StringType()), T.StructField("p_size", T.IntegerType())])
+    for some in (ids.where("id % 4 = 0"), ids):
+        out = enrich_with_ledger(some, "id", _by_id, schema, path, ids_per_partition=1000, wave_ids=2000, records=records, record_key="id")
+    return out, path, ledger_schema(T.LongType(), schema)
+
+
+@register("enrich_with_ledger", f"SELECT p_partkey AS id, p_type, p_size FROM part WHERE p_partkey IN ({_WANTED_IDS})")
+def q_enrich_with_ledger(spark, sf_dir):
+    """Records fetched in calls of 100 ids, in waves, answers kept in a ledger."""
+    return _ledgered(spark, sf_dir)[0]
+
+
+@register("enrich_ledger_report", f"""
+SELECT CASE WHEN p_partkey IS NULL THEN 'none' ELSE 'found' END AS status, count(*) AS n_ids, count(*) AS n_rows
+FROM ({_WANTED_IDS}) w LEFT JOIN part ON p_partkey = w.id GROUP BY 1""")
+def q_enrich_ledger_report(spark, sf_dir):
+    """After both runs every id stands in the ledger once: it was asked for once."""
+    _, path, schema = _ledgered(spark, sf_dir)
+    return report(spark, path, schema)
+
+
 #: Rows of a range of the stored parts, so that the table is split and split again as it grows.
 STORE_ROWS = 500
 
