@@ -10,6 +10,7 @@ is bounded whatever the table's size.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from setlist.sinks.writers import (append_parquet, save_csv, save_json_lines, sa
                                    save_parquet, save_sample, write_slice_tables)
 from setlist.sources.readers import (read_csv, read_json_lines, read_liked_pages, read_or_empty,
                                      read_parquet, read_raw_slices, read_text_lines)
-from setlist.streaming.incremental import clean_batch
+from setlist.streaming.incremental import DONE, clean_batch, clean_new_slices, clean_slices_stream
 from setlist._workers import ship_by_value
 
 ship_by_value(__name__)
@@ -61,8 +62,9 @@ def _schema(name: str) -> T.StructType:
 
 
 # ----------------------------------------------------------- slice files ---
-def _write_slices(spark, sf_dir, path: str) -> None:
-    """Raw slice files: one JSON document of at most SLICE_ORDERS playlists each."""
+def _write_slices(spark, sf_dir, path: str, parity: int | None = None) -> None:
+    """Raw slice files: one JSON document of at most SLICE_ORDERS playlists each;
+    ``parity`` adds those of even or odd number only."""
     entry = F.struct(
         F.col("l_linenumber").alias("pos"), F.format_string("x:track:%d", "l_partkey").alias("track_uri"),
         F.format_string("part %d", "l_partkey").alias("track_name"),
@@ -79,10 +81,11 @@ def _write_slices(spark, sf_dir, path: str) -> None:
                          F.col("o_orderdate")).alias("modified_at"),
         F.col("o_custkey").alias("num_followers"), F.size("tracks").cast("long").alias("num_edits"), "tracks")
     block = F.floor(F.col("o_orderkey") / SLICE_ORDERS)
-    docs = (table(spark, sf_dir, "orders").join(tracks, "o_orderkey")
+    orders = table(spark, sf_dir, "orders").where(F.lit(True) if parity is None else block % 2 == parity)
+    docs = (orders.join(tracks, "o_orderkey")
             .groupBy(F.format_string("mpd.slice.%d", block).alias("file"))
             .agg(to_json_text(F.array_sort(F.collect_list(playlist)).alias("playlists")).alias("value")))
-    docs.write.partitionBy("file").text(path)
+    docs.write.mode("append").partitionBy("file").text(path)
 
 
 def _cleaned(spark, sf_dir) -> str:
@@ -129,6 +132,39 @@ def q_cleaned_tracks(spark, sf_dir):
     return stored.select("slice", "track_id", "artist_name", "album_uri", "pos", "duration_ms")
 
 
+@register("slices_stream_then_batch", f"""
+SELECT step, count(DISTINCT s) AS n_slices, count(DISTINCT o_orderkey) AS n_playlists FROM (
+  SELECT o_orderkey, o_orderkey // {SLICE_ORDERS} AS s FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) o,
+  (VALUES ('1 stream'), ('2 batch'), ('3 stream again'), ('4 batch again')) v(step)
+WHERE s % 2 = 0 OR step <> '1 stream' GROUP BY step""")
+def q_slices_stream_then_batch(spark, sf_dir):
+    """The stream cleans the slices of even number, 30 files a step; the odd ones
+    arrive and the batch form cleans those only; a stream with a new checkpoint and a
+    second batch run find every slice done."""
+    path = _folder(spark)
+    raw, out, seen = f"{path}/raw", f"{path}/clean", []
+    files = {"pattern": "part-*", "name": lambda p: F.regexp_extract(p, "file=([^/]+)/", 1)}
+
+    def count(step: str) -> DataFrame:
+        stored = read_parquet(spark, f"{out}/playlists", CLEANED_PLAYLIST).agg(F.count(F.lit(1)).alias("n"))
+        # Rows of the table of done slices: one that was cleaned twice would count twice.
+        done = spark.read.schema(DONE).parquet(f"{out}/done")
+        return materialize(done.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("n_slices"))
+                           .select("step", "n_slices", stored.scalar().alias("n_playlists")))
+
+    _write_slices(spark, sf_dir, raw, parity=0)
+    clean_slices_stream(spark, raw, out, f"{path}/checkpoint1", **files)
+    seen.append(count("1 stream"))
+    _write_slices(spark, sf_dir, raw, parity=1)
+    clean_new_slices(spark, raw, out, **files)
+    seen.append(count("2 batch"))
+    clean_slices_stream(spark, raw, out, f"{path}/checkpoint2", **files)
+    seen.append(count("3 stream again"))
+    clean_new_slices(spark, raw, out, **files)
+    seen.append(count("4 batch again"))
+    return reduce(DataFrame.unionAll, seen)
+
+
 # ----------------------------------------------------------- other files ---
 @register("json_lines_round_trip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_json_lines_round_trip(spark, sf_dir):
