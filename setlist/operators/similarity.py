@@ -155,8 +155,10 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
 
     Plan: only the narrow ``(query, item)`` pairs are shuffled, by query;
     the item matrix is joined inside the partition (broadcast after its size
-    is checked against ``broadcast_max_bytes``) and summed there, so the wide
-    per-feature rows are never shuffled at pair cardinality.  Queries with more than ``hot_rows``
+    is checked against ``broadcast_max_bytes``; above it tile by tile, see
+    :mod:`setlist.operators.tiles`) and summed there, so the wide
+    per-feature rows are never shuffled at pair cardinality and no item is a
+    shuffle key.  Queries with more than ``hot_rows``
     distinct items are salted over ``salts`` partitions and merged by a
     second, tiny aggregation; all other queries finish in one pass.  Their
     list grows with the pairs, so Spark picks its join.
@@ -164,9 +166,14 @@ def query_vectors(pairs: DataFrame, items: DataFrame, feature_cols: list[str],
     ids = pairs.select(F.col(query_col), F.col(item_col).alias("item"))
     if not pairs_distinct:
         ids = ids.distinct()
+    n_items = None
     if item_bytes is None:
-        _, item_bytes = item_matrix_bytes(items, feature_cols)
-    side = F.broadcast(items) if item_bytes <= broadcast_max_bytes else items
+        n_items, item_bytes = item_matrix_bytes(items, feature_cols)
+    if item_bytes > broadcast_max_bytes:
+        n_items = items.count() if n_items is None else n_items
+        return _tiled_means(ids.filter(F.col(query_col).isNotNull() & F.col("item").isNotNull()), items, feature_cols,
+                            query_col, (n_items, item_bytes, broadcast_max_bytes))
+    side = F.broadcast(items)
     sizes = ids.groupBy(query_col).agg(F.count(F.lit(1)).alias("_n"))
     hot = sizes.filter(F.col("_n") > hot_rows).select(query_col)
     sums = [F.sum(c).alias(c) for c in feature_cols]

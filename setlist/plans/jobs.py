@@ -139,6 +139,8 @@ def batch_recommend(requests: DataFrame, track_features: DataFrame, key: str = "
     """
     ids_col = requests.schema["track_ids"].dataType
     ids = parse_list_text("track_ids") if ids_col.typeName() == "string" else F.col("track_ids")
+    if key == "request":
+        raise ValueError("a key named 'request' would be taken for the row's number: rename it")
     # Written, so that a row keeps its number.
     rows = materialize(requests.select(key, ids.alias("track_ids"), "n").withColumn(
         "request", F.monotonically_increasing_id()))

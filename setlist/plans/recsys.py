@@ -14,6 +14,7 @@ from setlist.operators.evaluate import evaluate
 from setlist.operators.similarity import (item_matrix_bytes, item_vectors, query_means_from_pairs,
                                           recommend_from_pairs)
 from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
+from setlist.plans.jobs import batch_recommend
 from setlist.session import materialize
 from setlist.plans.tables import (EMBED_DIM, SEED, TEST_FRAC, TOP_N, embedding_items,
                                   playlist_pairs, table)
@@ -284,6 +285,29 @@ def q_hit_rate_by_kind_tiled(spark, sf_dir):
     return evaluate(split, items, cols, exclude_seen=True, item_stats=stats, broadcast_max_bytes=-(-stats[1] // TILES))
 
 
+# Requests: eight neighbouring parts ask for their like; a key stands on many rows, and each row is answered by itself.
+_SQL_REQUESTS = f"""WITH embeddings AS (SELECT p_partkey AS vec_id, list_value({", ".join(_KIND_FEATURES)}) AS embedding FROM part),
+request AS (SELECT p_partkey // 8 AS block, (p_partkey // 8) % 50 AS pid, 1 + (p_partkey // 8) % 4 AS n, p_partkey AS id FROM part),
+qv AS (SELECT block, pid, n, list_value({", ".join(f"avg(e.embedding[{i + 1}])" for i in range(KIND_DIMS))}) AS q
+       FROM request r JOIN embeddings e ON e.vec_id = r.id GROUP BY ALL),
+scored AS (SELECT qv.*, e.vec_id AS item, list_cosine_similarity(q, embedding) AS cos FROM qv CROSS JOIN embeddings e),
+top AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY round(cos, 12) DESC, item) AS rank FROM scored)
+SELECT pid, rank, item, round(cos, 6) AS cosine FROM top WHERE rank <= n"""
+
+
+@register("batch_requests", _SQL_REQUESTS)
+def q_batch_requests(spark, sf_dir):
+    """Every request row answered by itself, with its own n."""
+    part = table(spark, sf_dir, "part")
+    cols = [f"f{j}" for j in range(KIND_DIMS)]
+    features = part.select(F.col("p_partkey").alias("track_spid"), *[F.expr(e).alias(c) for e, c in zip(_KIND_FEATURES, cols)])
+    block = F.expr("p_partkey div 8")
+    requests = part.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list("p_partkey")).alias("track_ids")).select(
+        (F.col("block") % 50).alias("pid"), "track_ids", (1 + F.col("block") % 4).alias("n"))
+    out = batch_recommend(requests, features, "pid", cols)
+    return out.select("pid", "rank", "item", F.round("cosine", 6).alias("cosine"))
+
+
 KIND_SAMPLE = 20
 
 
