@@ -162,8 +162,9 @@ def _without(docs: DataFrame, found: DataFrame, text: str, key: str, count: str
     cuts = found.toDF(k, t, c)
     small = small_side(cuts, 256)
     small = small if small is not cuts else cuts.hint("shuffle_hash")
-    joined = docs.withColumn(t + "x", F.xxhash64(text)).join(
-        small, (F.col(key).eqNullSafe(F.col(k))) & (F.col(t + "x") == F.col(t)), "left")
+    h = fresh(docs, t + "x")
+    joined = docs.withColumn(h, F.xxhash64(text)).join(
+        small, (F.col(key).eqNullSafe(F.col(k))) & (F.col(h) == F.col(t)), "left")
     left = F.when(F.col(c).isNull(), F.col(text)).otherwise(
         F.array_join(_kept_lines(lines(F.col(text)), F.col(c)), "\n"))
     out = joined.withColumn(text, left)

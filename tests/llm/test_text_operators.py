@@ -98,6 +98,16 @@ def brute_line_dedup(rows):
     return out
 
 
+def test_line_dedup_leaves_columns_of_any_name(spark):
+    names = ["t", "tx", "k", "cuts", "h", "Tx_"]
+    rows = [(i, "line one\nline two\nline three\nline four", *(f"{n}{i}" for n in names)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    for dedup in (line_dedup.dedup_lines, line_dedup.dedup_passages):
+        out = dedup(docs)
+        assert out.columns == docs.columns
+        assert sorted(tuple(r)[2:] for r in out.collect()) == sorted(r[2:] for r in rows)
+
+
 def test_line_dedup(spark, texts, monkeypatch):
     docs = frame(spark, texts)
     want = brute_line_dedup(list(enumerate(texts)))
