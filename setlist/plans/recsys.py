@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from setlist.operators.evaluate import evaluate
 from setlist.operators.similarity import (item_matrix_bytes, item_vectors, query_means_from_pairs,
                                           recommend_from_pairs)
+from setlist.operators.segments import segment_items, segments
 from setlist.operators.split import holdout_split, inference_example, sample_n, split_two_tables
 from setlist.plans.jobs import batch_recommend
 from setlist.session import materialize
@@ -353,6 +354,31 @@ def q_split_test_table(spark, sf_dir):
     return split_two_tables(_split(spark, sf_dir))[1]
 
 
+#: Ids of a stored segment.
+SEGMENT = 256
+_SQL_FLAG_SPLIT = "WITH pairs AS (SELECT DISTINCT l_returnflag AS pid, l_partkey AS item FROM lineitem)," + SQL_SPLIT.split("FROM lineitem),")[1]
+
+
+@register("split_segments", _SQL_FLAG_SPLIT + f"""
+SELECT pid, part, segment, string_agg(CAST(item AS VARCHAR), ',' ORDER BY item) AS ids FROM (
+  SELECT pid, part, item, (row_number() OVER (PARTITION BY pid, part ORDER BY item) - 1) // {SEGMENT} AS segment FROM split) t
+GROUP BY pid, part, segment""")
+def q_split_segments(spark, sf_dir):
+    """The halves of three playlists that share all rows, as lists in rows of SEGMENT ids."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("pid"), F.col("l_partkey").alias("item")).distinct()
+    cut = segments(holdout_split(pairs, "pid", "item", TEST_FRAC, SEED), ["pid", "part"], "item", rows=SEGMENT)
+    return cut.select("pid", "part", "segment", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
+
+
+@register("split_segments_items", _SQL_FLAG_SPLIT + """
+SELECT pid, part, row_number() OVER (PARTITION BY pid, part ORDER BY item) - 1 AS pos, item FROM split""")
+def q_split_segments_items(spark, sf_dir):
+    """A10: the segments, stored, read back as one long list each."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("pid"), F.col("l_partkey").alias("item")).distinct()
+    cut = segments(holdout_split(pairs, "pid", "item", TEST_FRAC, SEED), ["pid", "part"], "item", rows=SEGMENT)
+    return segment_items(materialize(cut), ["pid", "part"], rows=SEGMENT)
+
+
 @register("inference_example", SQL_INFERENCE_EXAMPLE)
 def q_inference_example(spark, sf_dir):
     """First three playlists' train lists as ``track_ids`` with n = 5."""
