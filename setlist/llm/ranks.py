@@ -1,35 +1,14 @@
-"""Positions of rows in long sorted groups, for several corpus operators.
-
-A group may hold a third of all rows, and so may a set of equal rows.  Equal
-rows are counted first (partial counts before the shuffle); the distinct ones
-are range-partitioned by group and order, so every range is bounded; per range
-and group one count is kept, and running sums over those give each range its
-start.  No group ever meets in one task.
-"""
+"""Positions of rows in long sorted groups, by the library's general helper."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from setlist.llm.common import materialize, shuffle_width
+from setlist.operators import segments
 
 
 def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """The distinct rows of ``df`` (which holds ``group`` and ``order`` columns
-    only, nulls first) with ``copies``, ``start`` (rows of the group before the
-    first copy) and ``size`` (rows of the group)."""
-    keys = group + order
-    runs = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    ranged = materialize(runs.repartitionByRange(shuffle_width(df), *keys).withColumn("part", F.spark_partition_id()))
-    parts = ranged.groupBy("part", *group).agg(F.sum("copies").alias("n"))
-    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = materialize(parts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
-                          .withColumn("size", F.sum("n").over(Window.partitionBy(*group))).drop("n"))
-    inside = Window.partitionBy("part", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    counted = ranged.withColumn("inside", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-    a, b = counted.alias("a"), offsets.alias("b")
-    same = F.col("a.part") == F.col("b.part")
-    for c in group:
-        same &= F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    return a.join(b, same).select(*[f"a.{c}" for c in keys], "a.copies", (F.col("a.inside") + F.col("b.offset")).alias("start"), "b.size")
+    """The distinct rows of ``df`` with ``copies``, ``start`` (rows of the group
+    before the first copy) and ``size`` (rows of the group); no group and no set
+    of equal rows meets in one task."""
+    return segments.positions(df, group, order).withColumnsRenamed({f"_{c}": c for c in ("copies", "start", "size")})
