@@ -545,6 +545,16 @@ def q_feature_histogram(spark, sf_dir):
     return feature_histogram(table(spark, sf_dir, "part"), "p_retailprice", 900.0, 2100.0, 12)
 
 
+@register("feature_histogram_sizes", """
+SELECT CAST(CASE WHEN p_size < 5 THEN 0 WHEN p_size >= 45 THEN 9
+            ELSE floor((p_size - 5.0::DOUBLE) * 8.0::DOUBLE / 40.0::DOUBLE) + 1 END AS BIGINT) AS bin,
+       count(*) AS n
+FROM part GROUP BY 1""")
+def q_feature_histogram_sizes(spark, sf_dir):
+    """A12 over a feature that fills every bin, those below and above the range too."""
+    return feature_histogram(table(spark, sf_dir, "part"), "p_size", 5.0, 45.0, 8)
+
+
 # ----------------------------------------------------------- P22 P19 -------
 @register("drop_junk_rows", """
 SELECT l_orderkey, l_linenumber, lower(l_returnflag) AS flag_key FROM lineitem

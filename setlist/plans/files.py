@@ -206,6 +206,21 @@ def q_appended_parquet(spark, sf_dir):
             .withColumn("n_before", F.lit(before)))
 
 
+@register("stored_or_empty", """
+SELECT 'missing' AS kind, 0 AS n_rows, CAST(NULL AS BIGINT) AS keys
+UNION ALL SELECT 'stored', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'stored, no rows', 0, NULL""")
+def q_stored_or_empty(spark, sf_dir):
+    """A path that does not exist, one with all customers, one that was saved without rows."""
+    path, rows = _folder(spark), table(spark, sf_dir, "customer")
+    save_parquet(rows, f"{path}/all")
+    save_parquet(rows.where("false"), f"{path}/none")
+    def told(kind, name):
+        return read_or_empty(spark, f"{path}/{name}", rows.schema).agg(
+            F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_rows"), F.sum("c_custkey").alias("keys"))
+    return told("missing", "nowhere").unionAll(told("stored", "all")).unionAll(told("stored, no rows", "none"))
+
+
 @register("model_and_sample_tables", """
 SELECT 'model' AS kept, s_suppkey, s_name FROM supplier
 UNION ALL (SELECT 'sample', s_suppkey, s_name FROM supplier ORDER BY s_suppkey LIMIT 5)""")
