@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from setlist.functions.flatten import flatten_paths, id_attribute_map, rename_select
 from setlist.functions.scalars import (epoch_to_timestamp, fill_by_type, parse_list_text,
                                        parse_timestamp, text_to_bool)
+from setlist.operators import store
 from setlist.operators.clean import playlist_items_long
 from setlist.operators.dedup import dedup_first
-from setlist.operators.enrich import enrich
+from setlist.operators.enrich import CALL_SIZE, enrich, track_features_frame
 from setlist.operators.evaluate import evaluate
+from setlist.operators.ledger import enrich_with_ledger
 from setlist.operators.lookup import join_on, new_rows, remaining_ids
 from setlist.operators.similarity import MUSIC_FEATURES, item_vectors, recommend_from_pairs
 from setlist.operators.split import holdout_split, inference_example, split_lists
-from setlist.operators.upsert import write_upsert
-from setlist.schemas import PLAYLIST_FEATURE_COLUMNS, TRACK_FEATURES
+from setlist.schemas import PLAYLIST_FEATURE_COLUMNS, TRACK_FEATURE_RECORD, TRACK_FEATURES
 from setlist.session import materialize
 from setlist.sinks.writers import append_parquet, save_csv
 from setlist.sources.readers import read_liked_pages, read_or_empty
@@ -97,14 +98,20 @@ def prepare(playlists: DataFrame, track_features: DataFrame, seed=42, test_frac=
 # --------------------------------------------------------------------- W2 ---
 def scrape_new_tracks(spark: SparkSession, raw_dir: str, cleaned_dir: str, features_path: str,
                       fetch: Callable[[list], list], time_pulled) -> DataFrame:
-    """Clean new slices → dedup tracks → ids without features → enrich → append."""
+    """Clean new slices → dedup tracks → ids without features → enrich → append.
+
+    Answers go through the ledger beside the features (``<features_path>_ledger``):
+    a run that dies before the append asks for nothing again, nor does a later run
+    for ids that have no features; ids of failed calls are asked by the next run."""
     clean_new_slices(spark, raw_dir, cleaned_dir)
     tracks = spark.read.parquet(f"{cleaned_dir}/tracks")
     deduped = dedup_first(tracks.select("track_id", "slice"), ["track_id"], ["slice"])
     scraped = read_or_empty(spark, features_path, TRACK_FEATURES).select(
         F.col("track_spid").alias("track_id"))
     todo = remaining_ids(deduped, scraped, "track_id")
-    feats = enrich(todo, "track_id", fetch, "track", time_pulled)
+    records = enrich_with_ledger(todo, "track_id", fetch, TRACK_FEATURE_RECORD, f"{features_path}_ledger",
+                                 call_size=CALL_SIZE["track"])
+    feats = materialize(track_features_frame(records, time_pulled))
     append_parquet(feats, features_path)
     return feats
 
@@ -113,11 +120,14 @@ def scrape_new_tracks(spark: SparkSession, raw_dir: str, cleaned_dir: str, featu
 def load_features(spark: SparkSession, features: DataFrame, store_path: str,
                   key: str = "track_spid") -> DataFrame:
     """Time text → timestamp (F6), rows not stored yet (J3), type-wise null
-    fill (F7), keyed upsert into the store (K7)."""
+    fill (F7), keyed upsert into the store (K7), a new version only if there are such rows."""
     f = features.withColumn("time_pulled", parse_timestamp(F.col("time_pulled").cast("string")))
-    stored = read_or_empty(spark, store_path, f.schema).select(key)
-    fresh = fill_by_type(new_rows(f, stored, key))
-    return write_upsert(spark, store_path, fresh, key, fresh.schema, "time_pulled")
+    stored = store.read(spark, store_path) if store.versions(spark, store_path) else spark.createDataFrame([], f.schema)
+    fresh = materialize(fill_by_type(new_rows(f, stored.select(key), key)))
+    if fresh.isEmpty():
+        return stored
+    store.upsert(spark, store_path, fresh, key, "time_pulled")
+    return store.read(spark, store_path)
 
 
 # --------------------------------------------------------------------- W4 ---

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from setlist.operators.similarity import MUSIC_FEATURES
+from setlist.operators.store import read, versions
 from setlist.plans import jobs
 from tests.services import hashed_track_service
 from setlist.schemas import TRACK_FEATURES
@@ -61,6 +62,29 @@ def test_w2_scrape(spark, tmp_dir):
     assert spark.read.schema(TRACK_FEATURES).parquet(feats_path).count() == len(want)
 
 
+def test_w2_asks_nothing_twice(spark, tmp_dir):
+    """A run whose calls fail keeps nothing of them; the next one asks again, and what is settled is never asked."""
+    raw = _fixture(tmp_dir)
+    out, feats, calls = (os.path.join(tmp_dir, n) for n in ("clean", "features", "calls"))
+    os.makedirs(calls)
+
+    def broken(ids):
+        raise RuntimeError("no answer")
+
+    def counted(ids):
+        for i in ids:
+            with open(os.path.join(calls, str(i)), "a") as fh:
+                fh.write("x")
+        return [None if i == "t2" else {"id": i, "energy": 0.5} for i in ids]
+
+    assert jobs.scrape_new_tracks(spark, raw, out, feats, broken, "2024-01-01").count() == 0
+    got = {r["track_spid"] for r in jobs.scrape_new_tracks(spark, raw, out, feats, counted, "2024-01-02").collect()}
+    assert got and "t2" not in got
+    assert jobs.scrape_new_tracks(spark, raw, out, feats, counted, "2024-01-03").count() == 0
+    assert set(os.listdir(calls)) == got | {"t2"}
+    assert all(os.path.getsize(os.path.join(calls, i)) == 1 for i in os.listdir(calls))
+
+
 def test_w3_load(spark, tmp_dir):
     store = os.path.join(tmp_dir, "store")
     f = spark.createDataFrame([("a", 0.5, "2021-01-01T00:00:00"), ("b", None, "bad"), ("c", 0.1, None)],
@@ -70,6 +94,10 @@ def test_w3_load(spark, tmp_dir):
     assert set(rows) == {"a", "b", "c"} and rows["b"]["time_pulled"] == dt.datetime(1970, 1, 1)
     two = jobs.load_features(spark, f, store)
     assert two.count() == 3
+    assert versions(spark, store) == [1]  # no row was new: no new version
+    more = spark.createDataFrame([("d", 0.9, None)], "track_spid string, track_energy double, time_pulled string")
+    assert jobs.load_features(spark, more, store).count() == 4 and versions(spark, store) == [1, 2]
+    assert read(spark, store, 1).count() == 3
 
 
 def test_w6_liked(spark, tmp_dir):
