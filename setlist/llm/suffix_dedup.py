@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from setlist._workers import ship_by_value
+from setlist.llm import common
 from setlist.llm.common import materialize, small_side, spread, table
 
 ship_by_value(__name__)
@@ -49,6 +50,8 @@ MIN_WORDS = 50
 GRAM = 6
 WINDOW = 16
 REACH = 24
+#: Tasks of the sorted order at most: beyond it a task sorts more suffixes, spilling as it goes.
+TASKS = 20_000
 #: Bytes of text hashed at once (a longer text is a slab of its own).
 SLAB = 2 << 20
 
@@ -224,16 +227,22 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", ke
     shared = materialize(every.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
     found = materialize(every.join(small_side(shared, 24), "h"))
     asked = materialize(found.groupBy("k", "t").agg(F.collect_set(F.struct("h", "p")).alias("s")))  # bounded by one text
-    small = small_side(asked.withColumnsRenamed({"k": "ka", "t": "ta"}), 4096)
+    asked = asked.withColumnsRenamed({"k": "ka", "t": "ta"})
+    fits = (asked.agg(F.sum(F.size("s") * 40 + 64)).first()[0] or 0) <= common.BROADCAST_BYTES
+    small = F.broadcast(asked) if fits else asked
     # Rows repeated with equal doc_id and text would each bring all suffixes; they match as copies.
     read = base.join(small, F.col("k").eqNullSafe(F.col("ka")) & (F.col("t") == F.col("ta"))).select("k", "t", "x", "s")
     sides = materialize(read.mapInArrow(lambda it: _sides(it, stem), "h long, k long, t long, p int, r binary, l binary"))
-    width = spread(sides.count(), 50_000, docs)
+    width = min(spread(sides.count(), 50_000, docs), TASKS)
     done = materialize(sides.repartitionByRange(width, "h", "r", "k", "t", "p").sortWithinPartitions("h", "r", "k", "t", "p")
                        .mapInArrow(lambda it: _sorted_matches(it, stem, min_words), _FOUND + _ENDS))
-    # As many ends as partitions: each first suffix meets the last one before it.
+    # The last suffix of each partition that has any meets the first of the next such one (at most TASKS numbers).
     ends = done.where("part is not null").select("part", "last", "e")
-    border = ends.withColumn("x", F.lag("e").over(Window.orderBy("part", "last"))).where("not last and x is not null")
+    held = ends.agg(F.sort_array(F.collect_set("part")).alias("p")).where(F.size("p") > 1)
+    steps = held.select(F.explode(F.arrays_zip(F.expr("slice(p, 1, size(p) - 1)").alias("before"), F.expr("slice(p, 2, size(p) - 1)").alias("part")))
+                        .alias("s")).select("s.before", "s.part")
+    border = (steps.join(ends.where("last").select(F.col("part").alias("before"), F.col("e").alias("x")), "before")
+              .join(ends.where("not last").select("part", "e"), "part"))
     across = border.select("x", F.col("e").alias("y")).mapInArrow(lambda it: _across(it, stem, min_words), _FOUND)
     marks = done.where("part is null").select("k", "t", "other", "a", "b").unionByName(across)
     # Marks that touch are one passage.
