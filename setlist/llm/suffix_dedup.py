@@ -8,19 +8,24 @@ and agree on ``min_words - WINDOW + 1`` words from there (the stem).
 1. Tasks emit (stem hash, document, position) for each kept suffix.
 2. Stems that occur once are dropped (counted with map-side sums).
 3. For the others the words that follow the stem and those before it are read
-   once more from the texts; suffixes are range-partitioned and sorted by stem
-   and following words, which is their order in the suffix array up to the
-   order of stems, and each is compared with its two neighbours there: words
-   in common to the right, then to the left.  The order is total, so a stem
-   that a third of all documents hold spreads over many partitions; the first
-   and last suffix of each partition meet in a table of that size.
-4. A match of ``min_words`` or more marks its words; marks that touch are one
-   passage.
-
-A passage of ``min_words + WINDOW - 1`` words or more is found from its first
-kept suffix on whatever its neighbours are; up to ``WINDOW - 1`` words before
-it, and shorter passages, are found by the comparison with the neighbours.
-Words are compared by hashes (64 bits for stems, 32 for each further word).
+   once more from the texts; suffixes are range-partitioned and sorted by stem,
+   following words and preceding words, which is their order in the suffix
+   array up to the order of stems, and each is compared with its two
+   neighbours there: words in common to the right, then to the left.  The
+   order is total, so a stem that a third of all documents hold spreads over
+   many partitions; the first and last suffix of each partition meet in a
+   table of that size.
+4. A match of ``min_words`` or more marks its words.  Neighbours agree longest
+   to the right, and among equal following words longest to the left; only a
+   suffix further off with other following words can agree on more words to
+   the left.  The windows of ``min_words`` words that this leaves open (both
+   edges of a match lie within ``REACH`` words of the stem) are counted by
+   their hashes, over all suffixes of the stem; those found twice are marked.
+5. Marks that touch are one passage.
+
+So every window of ``min_words`` words that occurs twice is marked, and no
+other word.  Words are compared by hashes (64 bits for stems, 32 for each
+further word).
 
 Defined cases: null, empty and short texts have no passage; a passage that one
 text repeats counts; rows repeated with the same doc_id and text are copies of
@@ -45,11 +50,12 @@ from setlist.llm.common import materialize, small_side, spread, table
 
 ship_by_value(__name__)
 
-#: Words of a passage; of a gram; grams of a window; words compared beside the stem on each side.
+#: Words of a passage; of a gram; grams of a window; words compared beside the stem on each side
+#: (a passage of the least length has no more there).
 MIN_WORDS = 50
 GRAM = 6
 WINDOW = 16
-REACH = 24
+REACH = WINDOW - 1
 #: Tasks of the sorted order at most: beyond it a task sorts more suffixes, spilling as it goes.
 TASKS = 20_000
 #: Bytes of text hashed at once (a longer text is a slab of its own).
@@ -165,6 +171,60 @@ def _common(words: np.ndarray) -> np.ndarray:
     return ((words[:-1] == words[1:]) & (words[1:] != 0)).cumprod(axis=1).sum(axis=1)
 
 
+def _window_hashes(h: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash for each window that holds the stem, by its words before the stem (0 to REACH)."""
+    scale = _powers(_WORD, 2 * REACH)
+    before = np.zeros((len(h), REACH + 1), np.uint64)
+    after = before.copy()
+    before[:, 1:] = np.cumsum(left * scale[:REACH], axis=1, dtype=np.uint64)
+    after[:, 1:] = np.cumsum(right * scale[REACH:2 * REACH], axis=1, dtype=np.uint64)
+    at = np.arange(REACH + 1)
+    return _mixed(_mixed(h.view(np.uint64)[:, None] + at.astype(np.uint64)) + _mixed(before) * _BYTE + _mixed(after[:, REACH - at]))
+
+
+def _open_windows(rows: pa.RecordBatch, held: bool, stem: int, least: int) -> list[pa.RecordBatch]:
+    """Windows of sorted suffixes that no neighbour tells about: one batch of
+    those to ask for (``k``, ``t``, place) and one of counts of all windows
+    that may answer.  A first row that is ``held`` over was told of before."""
+    h = np.asarray(rows.column(0))
+    after, before = _words(rows.column(4)), _words(rows.column(5))
+    same = h[:-1] == h[1:]
+    right, left = (np.where(same, _common(x), -1) for x in (after, before))
+    # Equal following words are one group: its windows are open as far as another group of the stem agrees with it.
+    apart = ~same | (after[:-1] != after[1:]).any(axis=1)
+    group = np.concatenate([[0], np.cumsum(apart)])
+    step = np.concatenate([[REACH - 1], right[apart], [REACH - 1]])  # what lies beyond this batch is not known
+    reach = np.maximum(step[:-1], step[1:])[group]
+    at = np.arange(REACH + 1)
+    could = ((at <= (before != 0).sum(axis=1)[:, None]) & (REACH - at <= (after != 0).sum(axis=1)[:, None])
+             & (at >= REACH - reach[:, None]))
+    told = (at <= left[:, None]) & (REACH - at <= right[:, None])
+    ask = could.copy()
+    ask[:-1] &= ~told
+    ask[1:] &= ~told
+    # All windows of a stem answer if one is asked for, here or beyond this batch.
+    run = np.concatenate([[0], np.cumsum(~same)])
+    live = np.zeros(run[-1] + 1, bool)
+    live[run[ask.any(axis=1)]] = True
+    live[run[[0, -1]]] = True
+    answer = could & live[run][:, None]
+    if held:
+        ask[0] = answer[0] = False
+    some = np.flatnonzero(answer.any(axis=1))
+    if not len(some):
+        return []
+    code = _window_hashes(h[some], before[some].astype(np.uint64), after[some].astype(np.uint64)).view(np.int64)
+    r, o = np.nonzero(ask[some])
+    mine = pa.array(some[r])
+    start = np.asarray(rows.column(3)).astype(np.int64)[some[r]] - o
+    asked = pa.RecordBatch.from_arrays([rows.column(1).take(mine), rows.column(2).take(mine), pa.array(start), pa.array(start + least),
+                                        pa.array(code[r, o])], names=["k", "t", "a", "b", "w"])
+    r, o = np.nonzero(answer[some])
+    counted = pa.table({"w": code[r, o], "k": rows.column(1).take(pa.array(some[r]))}).group_by("w").aggregate(
+        [("k", "min"), ("k", "max"), ([], "count_all")]).rename_columns({"k_min": "lo", "k_max": "hi", "count_all": "c"})
+    return [b for b in (asked, *counted.to_batches()) if b.num_rows]
+
+
 def _pairs(rows: pa.RecordBatch, stem: int, least: int) -> pa.RecordBatch:
     """The matches of sorted suffixes with their neighbours, seen from both sides."""
     col = {n: rows.column(i) for i, n in enumerate(rows.schema.names)}
@@ -180,27 +240,32 @@ def _pairs(rows: pa.RecordBatch, stem: int, least: int) -> pa.RecordBatch:
 
 _END = ["h", "k", "t", "p", "r", "l"]
 _FOUND = "k long, t long, other long, a long, b long"
-_ENDS = ", part int, last boolean, e struct<h long, k long, t long, p int, r binary, l binary>"
+_MORE = ", part int, last boolean, e struct<h long, k long, t long, p int, r binary, l binary>, w long, c long, lo long, hi long"
 
 
 def _sorted_matches(batches: Iterator[pa.RecordBatch], stem: int, least: int) -> Iterator[pa.RecordBatch]:
-    """Matches inside a sorted partition, and its first and last suffix."""
+    """Of a sorted partition: matches, its first and last suffix, open windows and counts of windows."""
     part, held, first = TaskContext.get().partitionId(), None, None
+    shape: pa.Schema | None = None
+
+    def wide(found: pa.RecordBatch) -> pa.RecordBatch:
+        names = found.schema.names
+        return pa.RecordBatch.from_arrays([found.column(f.name) if f.name in names else pa.nulls(found.num_rows, f.type) for f in shape], schema=shape)
 
     def end(row: pa.RecordBatch, last: bool) -> pa.RecordBatch:
-        blank = pa.nulls(1, pa.int64())
-        return pa.RecordBatch.from_arrays([blank] * 5 + [pa.array([part], pa.int32()), pa.array([last]), row.to_struct_array()], names=names)
+        return wide(pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([last]), row.to_struct_array()], names=["part", "last", "e"]))
 
-    names = ["k", "t", "other", "a", "b", "part", "last", "e"]
     for batch in batches:
         if not batch.num_rows:
             continue
-        first = batch.slice(0, 1) if first is None else first
+        if first is None:
+            first, long = batch.slice(0, 1), pa.int64()
+            shape = pa.schema([*((n, long) for n in ("k", "t", "other", "a", "b")), ("part", pa.int32()), ("last", pa.bool_()),
+                               ("e", batch.to_struct_array().type), *((n, long) for n in ("w", "c", "lo", "hi"))])
         rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        found = _pairs(rows, stem, least)
-        n = found.num_rows
-        yield pa.RecordBatch.from_arrays([*found.columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.bool_()),
-                                          pa.nulls(n, batch.to_struct_array().type)], names=names)
+        yield wide(_pairs(rows, stem, least))
+        for windows in _open_windows(rows, held is not None, stem, least):
+            yield wide(windows)
         held = batch.slice(batch.num_rows - 1, 1)
     if first is not None:
         yield end(first, False)
@@ -234,8 +299,9 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", ke
     read = base.join(small, F.col("k").eqNullSafe(F.col("ka")) & (F.col("t") == F.col("ta"))).select("k", "t", "x", "s")
     sides = materialize(read.mapInArrow(lambda it: _sides(it, stem), "h long, k long, t long, p int, r binary, l binary"))
     width = min(spread(sides.count(), 50_000, docs), TASKS)
-    done = materialize(sides.repartitionByRange(width, "h", "r", "k", "t", "p").sortWithinPartitions("h", "r", "k", "t", "p")
-                       .mapInArrow(lambda it: _sorted_matches(it, stem, min_words), _FOUND + _ENDS))
+    order = ["h", "r", "l", "k", "t", "p"]
+    done = materialize(sides.repartitionByRange(width, *order).sortWithinPartitions(*order)
+                       .mapInArrow(lambda it: _sorted_matches(it, stem, min_words), _FOUND + _MORE))
     # The last suffix of each partition that has any meets the first of the next such one (at most TASKS numbers).
     ends = done.where("part is not null").select("part", "last", "e")
     held = ends.agg(F.sort_array(F.collect_set("part")).alias("p")).where(F.size("p") > 1)
@@ -244,7 +310,13 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", ke
     border = (steps.join(ends.where("last").select(F.col("part").alias("before"), F.col("e").alias("x")), "before")
               .join(ends.where("not last").select("part", "e"), "part"))
     across = border.select("x", F.col("e").alias("y")).mapInArrow(lambda it: _across(it, stem, min_words), _FOUND)
-    marks = done.where("part is null").select("k", "t", "other", "a", "b").unionByName(across)
+    # Open windows that were counted twice are marks as well.
+    twice = (done.where("c is not null").groupBy("w").agg(F.sum("c").alias("c"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+             .where("c > 1").select("w", "lo", "hi"))
+    wide = (done.where("w is not null and c is null").select("k", "t", "a", "b", "w").join(twice, "w")
+            .select("k", "t", F.when(F.col("k") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("other"), "a", "b"))
+    marks = (done.where("part is null and w is null").select("k", "t", "other", "a", "b").unionByName(across)
+             .unionByName(wide))
     # Marks that touch are one passage.
     flow = Window.partitionBy("k", "t").orderBy("a", "b")
     reach = F.max("b").over(flow.rowsBetween(Window.unboundedPreceding, -1))
