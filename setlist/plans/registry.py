@@ -9,6 +9,7 @@ _MODULES = [
     "setlist.plans.etl",
     "setlist.plans.files",
     "setlist.plans.records",
+    "setlist.plans.stored",
 ]
 
 
