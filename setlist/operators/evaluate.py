@@ -75,7 +75,7 @@ def _evaluate_in_one_pass(s: DataFrame, items: DataFrame, feature_cols, query_co
     # A null item is no item: it counts among the held-out rows only.
     tagged = s.select(query_col, role.alias("_role"), F.col("item").isNotNull().alias("_has"),
                       F.coalesce(F.col("item").cast(kind), F.lit("0").cast(kind)).alias("item"))
-    rows = (tagged.repartition(core._compute_partitions(s), query_col)
+    rows = (tagged.repartition(core.compute_partitions(s), query_col)
             .sortWithinPartitions(query_col, "_role", "_has", "item"))
     held = core._item_broadcast(items, feature_cols)
     schema = T.StructType([s.schema[query_col], *[T.StructField(c, T.LongType()) for c in ("n_test", "n_known", "hits")],
@@ -113,20 +113,10 @@ def _scored(chunk: pd.DataFrame, catalogue, query_col: str, exclude_seen: bool)
         row_of[asked] = np.arange(len(asked))
         wanted = np.unique(group[test].astype(np.int64) * len(uniq) + at[test])
         seen_row, seen_at = row_of[group[train]], at[train]
-        low, high = np.searchsorted(ids, uniq, "left"), np.searchsorted(ids, uniq, "right")
-        block = max(1, core.SCORE_BLOCK_BYTES // (8 * len(ids)))
-        for s in range(0, len(asked), block):
-            scores = vectors[s:s + block] @ unit.T
-            if exclude_seen:
-                mine = (seen_row >= s) & (seen_row < s + block)
-                r, a = seen_row[mine] - s, seen_at[mine]
-                width = high[a] - low[a]
-                cells = np.repeat(low[a] - np.r_[0, np.cumsum(width)[:-1]], width) + np.arange(width.sum())
-                scores[np.repeat(r, width), cells] = -np.inf
-            r, c, v, _ = core._topk_rows(scores, n_test[asked[s:s + block]])
-            r, c = r[np.isfinite(v)], c[np.isfinite(v)]
-            found = np.unique(asked[s + r].astype(np.int64) * len(uniq) + place[c])
-            hits += np.bincount(found[np.isin(found, wanted)] // len(uniq), minlength=n)
+        seen = core._seen_cells(seen_row, uniq[seen_at], ids) if exclude_seen else None
+        r, c, _, _ = core._best_rows(vectors, unit, n_test[asked], seen)
+        found = np.unique(asked[r].astype(np.int64) * len(uniq) + place[c])
+        hits += np.bincount(found[np.isin(found, wanted)] // len(uniq), minlength=n)
     rate = np.where(n_test > 0, hits / np.maximum(n_test, 1), np.nan)
     return pd.DataFrame({query_col: q[first], "n_test": n_test, "n_known": n_known, "hits": hits,
                          "hit_rate": pd.Series(rate, dtype=object).where(n_test > 0, None)})
