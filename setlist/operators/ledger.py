@@ -9,7 +9,9 @@ again, up to ``attempts`` times a run.
 
 Calls are made in waves of ``wave_ids`` ids, each committed before the next
 begins, so a lost job loses one wave and a lost executor the open
-tasks of one.  The number of tasks of a wave follows from its ids and is bounded.
+tasks of one.  There are at most ``MAX_WAVES`` waves a run, so that a wave's own cost
+stays small beside its calls: more ids make larger waves.  Ids and stored records are
+laid out by wave once, a wave reads its own.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ ship_by_value(__name__)
 
 #: Ids of one wave: 10,000 tasks of 2,500 ids.
 WAVE_IDS = 25_000_000
+#: Waves of a run at most.
+MAX_WAVES = 64
 FOUND, NONE, FAILED = "found", "none", "failed"
 
 
@@ -92,18 +96,31 @@ def enrich_with_ledger(ids: DataFrame, id_col: str, fetch: Callable, record_sche
         n = todo.count()
         if n == 0:
             break
-        waves = math.ceil(n / wave_ids)
+        waves = min(math.ceil(n / wave_ids), MAX_WAVES)
         tasks = math.ceil(n / waves / ids_per_partition)
         slot = F.pmod(F.xxhash64("_id"), F.lit(waves * tasks)).alias("_slot")
+        mine, near = todo.select("_id", slot), None
+        if records is not None:
+            near = records.withColumn("_id", F.col(record_key).cast(kind)).join(todo, "_id", "left_semi").select("*", slot).drop("_id")
+        if waves > 1:
+            mine, near = _by_wave(mine, waves), None if near is None else _by_wave(near, waves)
         for w in range(waves):  # a wave takes every waves-th slot
-            mine = todo.select("_id", slot).where(F.col("_slot") % waves == w)
-            near = None if records is None else records.withColumn("_id", F.col(record_key).cast(kind)).join(
-                todo, "_id", "left_semi").select("*", slot).where(F.col("_slot") % waves == w).drop("_id")
-            _answers(mine, fetch, schema, call_size, tasks, near).write.mode("append").parquet(ledger)
+            here = [d if d is None or waves == 1 else d.where(F.col("_wave") == w).drop("_wave") for d in (mine, near)]
+            _answers(here[0], fetch, schema, call_size, tasks, here[1]).write.mode("append").parquet(ledger)
     found = settled(spark, ledger, schema).where(F.col("_status") == FOUND).join(asked, "_id", "left_semi")
     return found.select(*record_schema.fieldNames())
 
 
+#: Files that the rows of a wave are spread over.
+SPREAD = 8
+
+
+def _by_wave(rows: DataFrame, waves: int) -> DataFrame:
+    wave = F.col("_slot") % waves
+    return materialize(rows.withColumn("_wave", wave.cast("int")).repartition(
+        "_wave", F.pmod(F.floor(F.col("_slot") / waves), F.lit(SPREAD))), by="_wave")
+
+
 def _answers(mine: DataFrame, fetch: Callable, schema: T.StructType, call_size: int, tasks: int, near: DataFrame | None) -> DataFrame:
     fields = schema.names[3:]
     if near is None:
