@@ -1,9 +1,11 @@
 """A keyed table with versions (K7, W3): an upsert rewrites only what it touches.
 
-Rows lie in folders by the leading bits of their key's hash.  A manifest names
+Rows belong to ranges, the leading bits of their key's hash.  An upsert writes its
+ranges as one folder, sorted by range, in files of ``FILE_ROWS`` rows or so, however
+many ranges there are.  A manifest names
 the folder of every range of hashes; it is written last, and the table is what
 the newest whole manifest says.  An upsert finds the ranges of its keys, merges
-those ranges into new folders, splits a range that would exceed
+those ranges into a new folder, splits a range that would exceed
 ``max_rows`` and writes the next manifest.  Nothing is ever replaced, so a
 reader keeps the version it began with, an upsert that dies leaves the table
 as it was, and one changed key rewrites at most ``max_rows`` rows.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +36,9 @@ _BITS, _PREFIX, _GEN = "_bits", "_prefix", "_gen"
 _MANIFEST = f"{_BITS} int, {_PREFIX} bigint, {_GEN} string, n_rows bigint, columns string"
 #: Ranges whose sizes are broadcast; above it they are joined.
 _FEW = 100_000
+#: Rows of a file at least, where ranges are smaller; ranges that a scan is asked for by name.
+FILE_ROWS = 100_000
+_NAMED = 64
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
@@ -55,10 +61,15 @@ def manifest(spark: SparkSession, path: str, version: int | None = None) -> Data
 def _rows(spark: SparkSession, path: str, ranges: DataFrame, schema: T.StructType) -> DataFrame:
     """The stored rows of ``ranges``, with their range."""
     whole = T.StructType([*schema.fields, T.StructField(_GEN, T.StringType()), T.StructField(_BITS, T.IntegerType()), T.StructField(_PREFIX, T.LongType())])
-    at = [f"{path}/data/{_GEN}={r[_GEN]}/{_BITS}={r[_BITS]}/{_PREFIX}={r[_PREFIX]}" for r in ranges.where(f"{_GEN} is not null").collect()]
+    live = ranges.where(f"{_GEN} is not null").select(_GEN, _BITS, _PREFIX)
+    at = [f"{path}/data/{_GEN}={r[0]}" for r in live.select(_GEN).distinct().collect()]
     if not at:
         return spark.createDataFrame([], whole).drop(_GEN)
-    return spark.read.schema(whole).option("basePath", f"{path}/data").parquet(*at).drop(_GEN)
+    stored = spark.read.schema(whole).option("basePath", f"{path}/data").parquet(*at)
+    n = live.count()
+    if n <= _NAMED:  # few ranges: the files' own bounds tell which to open
+        stored = stored.where(reduce(Column.__or__, [(F.col(_GEN) == r[0]) & (F.col(_BITS) == r[1]) & (F.col(_PREFIX) == r[2]) for r in live.collect()]))
+    return stored.join(F.broadcast(live) if n <= _FEW else live, [_GEN, _BITS, _PREFIX], "left_semi").select(*[f"`{c}`" for c in whole.names if c != _GEN])
 
 
 def _schema_of(ranges: DataFrame) -> T.StructType:
@@ -111,8 +122,8 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str, order_c
     placed = merged.join(F.broadcast(parts) if n_parts <= _FEW else parts, [_BITS, _PREFIX]).drop(_PREFIX, _BITS)
     placed = placed.withColumn(_PREFIX, _prefix(key, F.col("bits"))).withColumnRenamed("bits", _BITS)
     gen = f"{later}-{uuid.uuid4().hex[:12]}"
-    width = max(1, min(math.ceil(merged.count() / max_rows) * 4, 10_000), n_parts if n_parts < 10_000 else 10_000)
-    placed.repartition(width, _BITS, _PREFIX).write.partitionBy(_BITS, _PREFIX).parquet(f"{path}/data/{_GEN}={gen}")
+    width = max(1, min(math.ceil(merged.count() / max(max_rows, FILE_ROWS)) * 4, 10_000))
+    placed.repartition(width, _BITS, _PREFIX).sortWithinPartitions(_BITS, _PREFIX).write.parquet(f"{path}/data/{_GEN}={gen}")
     schema = T.StructType([f for f in merged.schema.fields if f.name not in (_BITS, _PREFIX)])
     found = placed.groupBy(_BITS, _PREFIX).agg(F.count(F.lit(1)).alias("n_rows"))
     children = F.sequence(F.lit(0).cast("long"), F.expr(f"shiftleft(1L, bits - {_BITS}) - 1"))
