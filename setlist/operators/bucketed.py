@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from setlist.session import checkpoint_dir, materialize
 
@@ -34,21 +35,25 @@ class Bucketed:
     hot_keys: DataFrame
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, hot_rows: int = HOT_ROWS) -> Bucketed:
-    """Store ``df`` in ``buckets`` (default: the session's shuffle partitions) by ``key``, a file each."""
+def write_bucketed(df: DataFrame, key: str, buckets: int | None = None, hot_rows: int | None = HOT_ROWS, dealt: bool = False) -> Bucketed:
+    """Store ``df`` in ``buckets`` (default: the session's shuffle partitions) by ``key``, a file each.
+
+    ``hot_rows`` None: keys are distinct, none is looked for.  ``dealt``: the rows stand
+    in ``buckets`` partitions by ``key`` already and are written as they stand; were they
+    not, there would be more files, and the same table."""
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    many = materialize(df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    many = spark.createDataFrame([], T.StructType([T.StructField("_hot", df.schema[key].dataType)])) if hot_rows is None else materialize(df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
                        .where(F.col("_n") > hot_rows).select("_hot"))
     hot = None
     cold = df
-    if not many.isEmpty():
+    if hot_rows is not None and not many.isEmpty():
         alike = F.col(key).eqNullSafe(F.col("_hot"))
         hot = materialize(df.join(many, alike, "left_semi"))
         cold = df.join(many, alike, "left_anti")
     name = f"setlist_{uuid.uuid4().hex}"
     path = os.path.join(checkpoint_dir(spark), "setlist-tables", name)
-    (cold.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    ((cold if dealt else cold.repartition(buckets, key)).write.bucketBy(buckets, key).sortBy(key)
      .option("path", path).format("parquet").saveAsTable(name))
     return Bucketed(key, spark.table(name), hot, many)
 

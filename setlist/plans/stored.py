@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from setlist.operators import sketches
 from setlist.operators.bucketed import count_by_key, join_by_key, write_bucketed
-from setlist.operators.similarity import query_means_from_pairs
+from setlist.operators.similarity import compute_partitions, query_means_from_pairs
 from setlist.plans.recsys import SQL_SPLIT, _items, _split, _train
 from setlist.plans.tables import table
 from setlist.session import checkpoint_dir
@@ -110,5 +110,8 @@ def q_bucketed_vectors_held_out(spark, sf_dir):
     items, cols, stats = _items(spark, sf_dir)
     split = _split(spark, sf_dir)
     means = query_means_from_pairs(_train(split), items, cols, pairs_distinct=True, item_stats=stats)
-    held = write_bucketed(split.where(F.col("part") == "test").select("pid", "item"), "pid")
-    return join_by_key(held, write_bucketed(means, "pid")).select("pid", "item", "n_known")
+    # One vector a playlist, dealt by playlist when it is formed: wide rows are written and not moved.
+    buckets = compute_partitions(split)
+    held = write_bucketed(split.where(F.col("part") == "test").select("pid", "item"), "pid", buckets)
+    vectors = write_bucketed(means, "pid", buckets, hot_rows=None, dealt=True)
+    return join_by_key(held, vectors).select("pid", "item", "n_known")
