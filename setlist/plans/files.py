@@ -138,7 +138,7 @@ SELECT step, count(DISTINCT s) AS n_slices, count(DISTINCT o_orderkey) AS n_play
   (VALUES ('1 stream'), ('2 batch'), ('3 stream again'), ('4 batch again')) v(step)
 WHERE s % 2 = 0 OR step <> '1 stream' GROUP BY step""")
 def q_slices_stream_then_batch(spark, sf_dir):
-    """The stream cleans the slices of even number, 30 files a step; the odd ones
+    """The stream cleans the slices of even number, 30 files a core in a step; the odd ones
     arrive and the batch form cleans those only; a stream with a new checkpoint and a
     second batch run find every slice done."""
     path = _folder(spark)
@@ -387,11 +387,13 @@ def q_saved_item_pages(spark, sf_dir):
                      F.col("p_size").cast("long").alias("popularity"), F.array(artist).alias("artists"),
                      album.alias("album"))
     item = F.struct(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("added_at"), track.alias("track"))
-    pages = rows.groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
+    # Flat rows are dealt by block once; pages and documents are put together where they lie.
+    flat = (rows.select(F.floor(F.col("l_orderkey") / SLICE_ORDERS).alias("block"), "l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag",
+                        "l_shipdate", "p_name", "p_size", "s_name").repartition("block"))
+    pages = flat.groupBy("block", "l_orderkey").agg(F.collect_list(item).alias("items"))
     # A file holds the pages of one block of orders, as one array document.
-    docs = pages.groupBy(F.floor(F.col("l_orderkey") / SLICE_ORDERS).alias("block")).agg(
-        F.to_json(F.collect_list(F.struct("items"))).alias("value"))
-    docs.write.partitionBy("block").text(path)
+    docs = pages.groupBy("block").agg(F.to_json(F.collect_list(F.struct("items"))).alias("value"))
+    docs.write.partitionBy("block").option("compression", "gzip").text(path)
     flat = flatten_paths(read_liked_pages(spark, path), ["added_at", *LIKED_RENAMES])
     saved = rename_select(flat, LIKED_RENAMES, keep_first=["added_at"])
     sizes = li.groupBy(F.col("l_orderkey").cast("string").alias("o")).agg(
