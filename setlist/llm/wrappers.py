@@ -14,8 +14,10 @@ pages is a tree of small groups.  Identical streams meet once: the shape
 
 Alignment is by longest common subsequences, rows of the table as bit sets,
 in memory linear in the streams' lengths; tags are read in one pass whatever
-stands between them.  A host of many layouts keeps the ``MOST`` elements that
-most of its pages share.
+stands between them.  Where a wrapper would grow beyond ``MOST`` elements the host
+gets several, its parts: the larger side of that alignment is done, the other goes
+on.  Each page then meets the part that its own stream went into, so every element of
+it is there; nothing is left out.  Parts are given in rows of at most ``MOST`` elements.
 
 A wrapper's texts are template or content: template are those in navigation,
 headers, footers, asides, forms, notices, adverts or comments (by tag, role,
@@ -60,7 +62,7 @@ ship_by_value(__name__)
 BATCH = 32
 UNIT = 12
 STEADY = 4
-#: Elements of a wrapper: of a host of many layouts the elements that most pages share.
+#: Elements that a wrapper grows to and that a row of one holds; a host of many layouts has several.
 MOST = 1 << 14
 #: Pages of a host that one copy of its wrapper meets where wrappers are too large for a broadcast.
 COPY_ROWS = 1 << 14
@@ -539,13 +541,6 @@ def align(a: list, b: list) -> list:
     return out
 
 
-def _bounded(wrapper: list) -> list:
-    """At most ``MOST`` elements, those of the most pages; what meets none of them is judged by its region."""
-    if len(wrapper) <= MOST:
-        return wrapper
-    return [wrapper[i] for i in sorted(sorted(range(len(wrapper)), key=lambda i: -wrapper[i][PAGES])[:MOST])]
-
-
 def _contents(wrapper: list) -> list:
     """The wrapper with its text as the value of each text and run that is template, None for content."""
     flat: list = []
@@ -637,32 +632,112 @@ def _times(items: list, n: int) -> list:
 
 
 def _aligned(pdf: pd.DataFrame) -> pd.DataFrame:
-    ordered = sorted(zip(pdf["shape"], pdf["n"]))
+    ordered = sorted(zip(pdf["shape"], pdf["n"], pdf["part"]))
+    done: list[tuple[list, list[int], bool]] = []
     wrapper: list | None = None
-    for shape, n in ordered:
+    kids: list[int] = []
+    for shape, n, part in ordered:
         items = _times(json.loads(shape), int(n))
-        wrapper = _bounded(items if wrapper is None else align(wrapper, items))
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "shape": [json.dumps(_bare(wrapper))], "n": [1]})
+        joined = items if wrapper is None else align(wrapper, items)
+        if wrapper is None or len(joined) <= max(MOST, len(wrapper), len(items)):
+            wrapper, kids = joined, [*kids, int(part)]
+        elif len(items) > len(wrapper):
+            done.append((items, [int(part)], True))
+        else:
+            done.append((wrapper, kids, True))
+            wrapper, kids = items, [int(part)]
+    done.append((wrapper, kids, False))
+    return pd.DataFrame([{"host": pdf["host"].iloc[0], "shape": json.dumps(_bare(w)), "n": 1, "part": _part(k), "full": full, "kids": k}
+                         for w, k, full in done])
 
 
-def wrappers(pages: DataFrame, batch: int = BATCH) -> DataFrame:
-    """``host`` and ``shape`` (its wrapper, as JSON) for ``pages`` (host, html)."""
+def _part(kids: list[int]) -> int:
+    """The number of what went into a part of the numbers ``kids``."""
+    return kids[0] if len(kids) == 1 else xxhash.xxh64_intdigest(",".join(map(str, sorted(kids)))) - (1 << 63)
+
+
+_STATE = "host string, shape string, n long, part long, full boolean, kids array<long>"
+
+
+def _inferred(pages: DataFrame, batch: int) -> list[DataFrame]:
+    """The levels of alignment for ``pages`` (host, html): the distinct streams first, each
+    host's parts (host, part, shape) last; ``kids`` are a row's parts of the level before."""
     shapes = pages.select("host", "html").mapInArrow(_shapes, "host string, main string, shape string")
     once = materialize(shapes.distinct())
     # Copies make nothing steady: of shapes with the same main texts one counts as a page.
     alike = materialize(once.groupBy("host", "main").agg(
         F.count(F.lit(1)).alias("c"), F.min(F.xxhash64("shape")).alias("first")).where("c > 1").drop("c"))
-    state = materialize(once.join(small_side(alike, 64), ["host", "main"], "left").select(
-        "host", "shape", F.coalesce(F.xxhash64("shape") == F.col("first"), F.lit(True)).cast("long").alias("n")))
+    leaf = F.xxhash64("shape")
+    levels = [materialize(once.join(small_side(alike, 64), ["host", "main"], "left").select(
+        "host", "shape", F.coalesce(leaf == F.col("first"), F.lit(True)).cast("long").alias("n"), leaf.alias("part"),
+        F.lit(False).alias("full"), F.array(leaf).alias("kids")))]
     while True:
-        counts = materialize(state.groupBy("host").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+        state = levels[-1]
+        counts = materialize(state.where("not full").groupBy("host").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
         if counts.isEmpty():
-            return state.select("host", F.col("shape"))
+            return levels
         # Groups of about a batch, by the shapes' hashes; a host with one shape is done.
-        dealt = state.join(small_side(counts, 64), "host", "left").withColumn(
+        dealt = state.where("not full").join(small_side(counts, 64), "host", "left").withColumn(
             "g", F.pmod(F.xxhash64("shape"), F.ceil(F.coalesce("c", F.lit(1)) / batch).cast("long")))
-        state = materialize(dealt.select("host", "shape", "n", "g").groupBy("host", "g").applyInPandas(
-            _aligned, "host string, shape string, n long"))
+        met = dealt.select("host", "shape", "n", "part", "g").groupBy("host", "g").applyInPandas(_aligned, _STATE)
+        levels.append(materialize(met.unionByName(state.where("full").withColumn("kids", F.array("part")))))
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for host, part, shape in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            items = json.loads(shape)
+            out += [(host, part, at, json.dumps(items[at:at + MOST])) for at in range(0, max(len(items), 1), MOST)]
+        cols = list(zip(*out)) or [()] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()))],
+                                         names=["host", "part", "at", "shape"])
+
+
+def _as_rows(parts: DataFrame) -> DataFrame:
+    return parts.select("host", "part", "shape").mapInArrow(_rows_of, "host string, part long, at long, shape string")
+
+
+def wrappers(pages: DataFrame, batch: int = BATCH) -> DataFrame:
+    """``host``, ``part``, ``at`` and ``shape`` (the elements of the part's wrapper from ``at`` on, as JSON)
+    for ``pages`` (host, html)."""
+    return _as_rows(_inferred(pages, batch)[-1])
+
+
+def _whole(rows: DataFrame) -> DataFrame:
+    """Each part's wrapper from its rows."""
+    listed = F.array_sort(F.collect_list(F.struct("at", "shape")))
+    inner = F.transform("l", lambda x: F.substr(x["shape"], F.lit(2), F.length(x["shape"]) - 2))
+    return rows.groupBy("host", "part").agg(listed.alias("l")).select(
+        "host", "part", F.concat(F.lit("["), F.array_join(inner, ", "), F.lit("]")).alias("shape"))
+
+
+def _leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shapes = [json.dumps(_bare(fold(_hashed(stream(page.as_py())[0])))) for page in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shapes, pa.string())], names=["page_id", "url", "html", "host", "stream"])
+
+
+def _by_part(read: DataFrame, levels: list[DataFrame], found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages and wrappers with ``host`` naming the part as well, where a host has several."""
+    several = materialize(found.groupBy("host").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("host"))
+    if several.isEmpty():
+        return read, found.select("host", "shape")
+    few = small_side(several, 64)
+    # From each host's parts down to the streams that went into them.
+    into = levels[-1].join(few, "host", "left_semi").select("host", F.col("part").alias("own"), F.explode("kids").alias("part"))
+    for level in levels[-2:0:-1]:
+        kids = level.select("host", "part", F.explode("kids").alias("kid"))
+        into = into.join(kids, ["host", "part"]).select("host", "own", F.col("kid").alias("part"))
+    into = materialize(into.groupBy("host", "part").agg(F.min("own").alias("own")))
+    named = F.concat_ws("\n", "host", F.col("own").cast("string"))
+    many = (read.join(few, "host", "left_semi").select("page_id", "url", "html", "host")
+            .mapInArrow(_leaves, "page_id long, url string, html string, host string, stream string")
+            .withColumn("part", F.xxhash64("stream")).drop("stream").join(small_side(into, 64), ["host", "part"])
+            .select("page_id", "url", "html", named.alias("host")))
+    pages = read.join(few, "host", "left_anti").select("page_id", "url", "html", "host").unionByName(many)
+    parts = found.withColumn("own", F.col("part")).join(few, "host", "left_semi").select(named.alias("host"), "shape")
+    return pages, found.join(few, "host", "left_anti").select("host", "shape").unionByName(parts)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -700,8 +775,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of ``pages`` (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
-    found = materialize(wrappers(read))
-    out = _with_wrapper(read, found).mapInArrow(_texts, "page_id long, url string, text string")
+    levels = _inferred(read, BATCH)
+    found = materialize(_whole(_as_rows(levels[-1])))
+    out = _with_wrapper(*_by_part(read, levels, found)).mapInArrow(_texts, "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -108,3 +108,22 @@ def test_wrappers_above_the_broadcast_bound(spark, monkeypatch):
     assert texts(spark, pages + pages[:5]) == want
     df = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], "page_id long, url string, html string").withColumn("copies", F.lit(1))
     assert wrappers.extract(df).count() == 60
+
+
+def test_every_layout_of_a_host_keeps_its_template(spark, monkeypatch):
+    """Two layouts that one wrapper of ``MOST`` elements does not hold: each page meets its own."""
+    rng = random.Random(8)
+    made = [bare_page(n, rng, ["start", "offers", "about us"]) for n in range(30)]
+    for n in range(9):
+        story = [" ".join(f"w{rng.randrange(900)}" for _ in range(6)) for _ in range(3)]
+        menu = "".join(f"<dd>{x}</dd>" for x in ("home", "shop", "help"))
+        made.append((f"<section><dl>{menu}</dl></section><section><h2>Piece {n}</h2>" + "".join(f"<pre>{x}</pre>" for x in story)
+                     + "</section><section><ul><li>Terms<li>Press</ul></section>", "\n".join([f"Piece {n}", *story])))
+    pages = [(f"http://x.example.org/{n}", html) for n, (html, _) in enumerate(made)]
+    want = [text for _, text in made]
+    assert texts(spark, pages) == want
+    monkeypatch.setattr(wrappers, "MOST", 24)
+    df = spark.createDataFrame([("x", h) for _, h in pages], "host string, html string")
+    rows = wrappers.wrappers(df).collect()
+    assert len({r["part"] for r in rows}) > 1 and all(len(json.loads(r["shape"])) <= 24 for r in rows)
+    assert texts(spark, pages + pages[:2]) == want + want[:2]
