@@ -44,9 +44,9 @@ LENGTH = 2048
 #: Pieces of a problem (its rows stay under about 100 KB), islands, individuals, rounds, children a round.
 PROBLEM = 4096
 ISLANDS = 3
-POPULATION = 3
-ROUNDS = 2
-CHILDREN = 2
+POPULATION = 6
+ROUNDS = 4
+CHILDREN = 8
 #: Bins filled to this share are final.
 FILLED = 0.985
 SEED = 42

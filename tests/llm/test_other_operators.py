@@ -240,3 +240,26 @@ def test_pipeline_stages(spark, rows):
         docs = out
     assert {"pipeline"} | {f"op{n}_" for n in range(1, 11)} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in registry.all_queries()}
     assert simhash.SEED == 42
+
+
+def test_packing_searches_beyond_best_fit():
+    """Where best fit is not at the bound the islands make many children, and find better packings."""
+    made, better = [], 0
+    cross = packing._cross
+    for n in range(6):
+        rng = random.Random(n)
+        sizes = sorted((rng.randrange(300, 900) for _ in range(300)), reverse=True)
+        first = packing._first(sizes, 2048, random.Random(0), True)
+        packing._cross = lambda *a: made.append(1) or cross(*a)
+        try:
+            found, per = [], []
+            for turn in range(packing.ROUNDS):
+                before = len(made)
+                found = packing._evolve(sizes, 2048, found, f"{n}|{turn}")
+                per.append(len(made) - before)
+        finally:
+            packing._cross = cross
+        best = packing._decoded(sizes, 2048, found[0])
+        assert best.fitness() >= first.fitness() and sum(per) >= 16
+        better += best.fitness() > first.fitness()
+    assert better >= 3
