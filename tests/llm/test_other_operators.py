@@ -238,7 +238,7 @@ def test_pipeline_stages(spark, rows):
             assert out.columns == docs.columns, name
             assert stage(spark, docs.limit(0), "").count() == 0
         docs = out
-    assert {"pipeline"} | {f"op{n}_" for n in range(1, 11)} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in registry.all_queries()}
+    assert {"pipeline"} | {f"op{n}_" for n in range(1, 14)} == {q if q == "pipeline" else q.split("_")[0] + "_" for q in registry.all_queries()}
     assert simhash.SEED == 42
 
 
