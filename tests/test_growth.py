@@ -78,6 +78,21 @@ def test_large_catalogue_gives_the_same_list(spark, data, monkeypatch, few, coun
     assert run(True, broadcast_max_bytes=900, hot_rows=6) == whole[True]
 
 
+def test_a_tile_is_held_to_the_best_of_those_before(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, q, ks = rng.normal(size=(4000, 8)), rng.normal(size=(40, 8)), np.full(40, 5)
+    whole = similarity._best_rows(similarity._normalise(q), similarity._normalise(x), ks)
+    given = []
+    monkeypatch.setattr(similarity, "_best_rows", lambda *a, f=similarity._best_rows: given.append(len((out := f(*a))[0])) or out)
+    tile = type("Tile", (), {})
+    held = [tile() for _ in range(4)]
+    for n, t in enumerate(held):
+        t.value = np.arange(4000)[n::4], x[n::4]
+    rows, found, _, rank = tiles._best(q, ks, held)
+    assert [*zip(rows, found, rank)] == [*zip(whole[0], whole[1], whole[3])]
+    assert given[0] == 200 and sum(given[1:]) < 500  # not five a query and tile
+
+
 def test_few_queries_leave_the_catalogue_where_it_lies(spark, data, monkeypatch):
     """By kind: a fixed number of playlists over a growing catalogue."""
     items, pairs = data
