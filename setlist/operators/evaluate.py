@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from setlist._workers import ship_by_value
-from setlist.operators import similarity as core
+from setlist.operators import similarity as core, tiles
 from setlist.operators.similarity import item_matrix_bytes, recommend_from_pairs
 
 ship_by_value(__name__)
@@ -46,8 +46,9 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
 
     One shuffle by playlist: its train and held-out rows, tagged and sorted,
     meet in one kernel that forms the mean, ranks the candidates and counts the
-    hits.  Playlists above ``hot_rows`` rows (looked for only where there are
-    so many rows at all) and catalogues above ``broadcast_max_bytes`` are
+    hits; of a catalogue above ``broadcast_max_bytes`` it holds one tile at a time.
+    Playlists above ``hot_rows`` rows (looked for only where there are
+    so many rows at all), and few playlists over such a catalogue, are
     evaluated by joins over the salted and tiled operators.
     """
     s = split_long.filter(F.col(query_col).isNotNull()).select(F.col(query_col), F.col(item_col).alias("item"), "part")
@@ -58,18 +59,21 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
         return _evaluate_by_joins(rows, items, feature_cols, query_col, exclude_seen, item_stats=item_stats,
                                   hot_rows=hot_rows, broadcast_max_bytes=broadcast_max_bytes, **recommend_args)
 
-    if item_stats[1] > broadcast_max_bytes:
+    tiled = item_stats[1] > broadcast_max_bytes
+    if tiled and s.select(query_col).distinct().limit(core.FEW_QUERIES + 1).count() <= core.FEW_QUERIES:
         return joined(s)
     hot = core._hot_queries(s, query_col, hot_rows) if s.count() > hot_rows else None
     cold = s if hot is None else s.join(hot, query_col, "left_anti")
-    out = _evaluate_in_one_pass(cold, items, feature_cols, query_col, exclude_seen)
+    n_tiles = tiles.tile_count(*item_stats, broadcast_max_bytes) if tiled else 0
+    out = _evaluate_in_one_pass(cold, items, feature_cols, query_col, exclude_seen, n_tiles)
     return out if hot is None else out.unionByName(joined(s.join(hot, query_col)))
 
 
 _TRAIN, _TEST, _OTHER = 0, 1, 2
 
 
-def _evaluate_in_one_pass(s: DataFrame, items: DataFrame, feature_cols, query_col: str, exclude_seen: bool) -> DataFrame:
+def _evaluate_in_one_pass(s: DataFrame, items: DataFrame, feature_cols, query_col: str, exclude_seen: bool, n_tiles: int = 0) -> DataFrame:
+    """With ``n_tiles``, a catalogue that no broadcast may hold."""
     role = F.when(F.col("part") == "train", _TRAIN).when(F.col("part") == "test", _TEST).otherwise(_OTHER)
     kind = items.schema["item"].dataType
     # A null item is no item: it counts among the held-out rows only.
@@ -77,13 +81,14 @@ def _evaluate_in_one_pass(s: DataFrame, items: DataFrame, feature_cols, query_co
                       F.coalesce(F.col("item").cast(kind), F.lit("0").cast(kind)).alias("item"))
     rows = (tagged.repartition(core.compute_partitions(s), query_col)
             .sortWithinPartitions(query_col, "_role", "_has", "item"))
-    held = core._item_broadcast(items, feature_cols)
+    held, width = tiles._held(items, feature_cols, n_tiles) if n_tiles else core._item_broadcast(items, feature_cols), len(feature_cols)
     schema = T.StructType([s.schema[query_col], *[T.StructField(c, T.LongType()) for c in ("n_test", "n_known", "hits")],
                            T.StructField("hit_rate", T.DoubleType())])
 
     def run(batches):
-        for chunk in core._sorted_batches(batches, query_col):
-            yield _scored(chunk, held.value, query_col, exclude_seen)
+        chunks = core._sorted_batches(batches, query_col)
+        for chunk in tiles._buffers(chunks) if n_tiles else chunks:
+            yield _scored_by_tile(chunk, held, width, query_col, exclude_seen) if n_tiles else _scored(chunk, held.value, query_col, exclude_seen)
 
     return rows.mapInPandas(run, schema)
 
@@ -117,8 +122,37 @@ def _scored(chunk: pd.DataFrame, catalogue, query_col: str, exclude_seen: bool)
         r, c, _, _ = core._best_rows(vectors, unit, n_test[asked], seen)
         found = np.unique(asked[r].astype(np.int64) * len(uniq) + place[c])
         hits += np.bincount(found[np.isin(found, wanted)] // len(uniq), minlength=n)
+    return _rated(q[first], query_col, n_test, n_known, hits)
+
+
+def _scored_by_tile(chunk: pd.DataFrame, held: list, width: int, query_col: str, exclude_seen: bool) -> pd.DataFrame:
+    """``_scored`` where the catalogue comes in tiles."""
+    q, item, role = chunk[query_col].to_numpy(), chunk["item"].to_numpy(), chunk["_role"].to_numpy()
+    first = np.r_[True, q[1:] != q[:-1]]
+    group = np.cumsum(first) - 1
+    n = int(group[-1]) + 1
+    n_test = np.bincount(group[role == _TEST], minlength=n)
+    new = (np.r_[True, (item[1:] != item[:-1]) | (role[1:] != role[:-1])] | first) & chunk["_has"].to_numpy(bool)
+    train, test = new & (role == _TRAIN), new & (role == _TEST)
+    total, n_known = tiles._sums(group[train], item[train], n, held, width)
+    asked = np.flatnonzero((n_known > 0) & (n_test > 0))
+    hits = np.zeros(n, dtype=np.int64)
+    if len(asked):
+        row_of = np.full(n, -1)
+        row_of[asked] = np.arange(len(asked))
+        seen = (row_of[group[train]], item[train]) if exclude_seen else None
+        r, found, _, _ = tiles._best(total[asked] / n_known[asked, None], n_test[asked], held, seen)
+        if len(r):
+            ids, place = np.unique(np.concatenate([found, item[test]]), return_inverse=True)
+            chosen = np.unique(asked[r].astype(np.int64) * len(ids) + place[:len(r)])
+            wanted = group[test].astype(np.int64) * len(ids) + place[len(r):]
+            hits += np.bincount(chosen[np.isin(chosen, wanted)] // len(ids), minlength=n)
+    return _rated(q[first], query_col, n_test, n_known, hits)
+
+
+def _rated(playlists, query_col: str, n_test, n_known, hits) -> pd.DataFrame:
     rate = np.where(n_test > 0, hits / np.maximum(n_test, 1), np.nan)
-    return pd.DataFrame({query_col: q[first], "n_test": n_test, "n_known": n_known, "hits": hits,
+    return pd.DataFrame({query_col: playlists, "n_test": n_test, "n_known": n_known, "hits": hits,
                          "hit_rate": pd.Series(rate, dtype=object).where(n_test > 0, None)})
 
 

@@ -78,6 +78,20 @@ def test_large_catalogue_gives_the_same_list(spark, data, monkeypatch, few, coun
     assert run(True, broadcast_max_bytes=900, hot_rows=6) == whole[True]
 
 
+@pytest.mark.parametrize("exclude", [False, True])
+def test_many_playlists_meet_a_large_catalogue_in_one_pass(spark, data, monkeypatch, exclude):
+    """The hits are counted where the items are ranked: no list of recommendations is moved."""
+    items, pairs = data
+    split = pairs.withColumn("part", F.when(F.col("item") % 4 == 0, "test").otherwise("train"))
+    split = split.unionByName(split.where("pid < 5")).unionByName(spark.createDataFrame([(1, None, "test"), (40, 99, "train"), (40, 1, "test"), (41, 2, "x")], split.schema))
+    want = sorted(map(tuple, evaluate(split, items, COLS, exclude_seen=exclude).collect()))
+    monkeypatch.setattr(similarity, "FEW_QUERIES", 0)
+    monkeypatch.setattr(tiles, "BUFFER_ROWS", 10)
+    got = evaluate(split, items, COLS, exclude_seen=exclude, broadcast_max_bytes=900)
+    assert sorted(map(tuple, got.collect())) == want and any(r[3] for r in want)
+    assert "Join" not in plan(got)
+
+
 def test_a_tile_is_held_to_the_best_of_those_before(monkeypatch):
     rng = np.random.default_rng(4)
     x, q, ks = rng.normal(size=(4000, 8)), rng.normal(size=(40, 8)), np.full(40, 5)
