@@ -24,7 +24,7 @@ def hit_rate(recs: DataFrame, test: DataFrame, query_col: str = "pid") -> DataFr
     """
     n_test = test.groupBy(query_col).agg(F.count(F.lit(1)).alias("n_test"))
     hits = (recs.select(query_col, "item").distinct()
-            .join(test.select(query_col, "item").distinct(), [query_col, "item"], "left_semi")
+            .join(test.select(query_col, "item").distinct().hint("merge"), [query_col, "item"], "left_semi")
             .groupBy(query_col).agg(F.count(F.lit(1)).alias("hits")))
     return (n_test.join(hits, query_col, "left")
             .withColumn("hits", F.coalesce("hits", F.lit(0)).cast("long"))
@@ -164,7 +164,7 @@ def _evaluate_by_joins(s: DataFrame, items: DataFrame, feature_cols, query_col:
     recs = recommend_from_pairs(train, items, n_test, feature_cols, query_col=query_col,
                                 exclude_seen=exclude_seen, **recommend_args)
     # Known train items per playlist: a narrow id-only join, no feature columns.
-    known = (train.distinct().join(items.select("item"), "item")
+    known = (train.distinct().join(items.select("item").hint("merge"), "item")
              .groupBy(query_col).agg(F.count(F.lit(1)).alias("n_known")))
     scores = hit_rate(recs, test, query_col)
     playlists = s.select(query_col).distinct()

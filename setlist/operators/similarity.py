@@ -503,7 +503,7 @@ def recommend(queries: DataFrame, items: DataFrame, n, feature_cols: list[str],
     if exclude is None:
         return cand.select(query_col, "rank", "item", "cosine")
 
-    cand = cand.join(ex, [query_col, "item"], "left_anti")
+    cand = cand.join(ex.hint("merge"), [query_col, "item"], "left_anti")
     w = Window.partitionBy(query_col).orderBy(F.desc("cosine"), F.asc("item"))
     return (cand.withColumn("rank", F.row_number().over(w).cast("long"))
             .filter(F.col("rank") <= F.col("_n"))
@@ -522,8 +522,9 @@ FEW_QUERIES = 1024
 
 def _joined_means(ids: DataFrame, items: DataFrame, feature_cols, query_col) -> DataFrame:
     """Means of few queries: an item meets at most as many pairs as there are queries,
-    and the sums of a task are one row a query."""
-    sums = ids.join(items, "item").groupBy(query_col).agg(*[F.sum(c).alias(c) for c in feature_cols], F.count(F.lit(1)).alias("n_known"))
+    and the sums of a task are one row a query.  Pairs and items grow with the catalogue, so
+    neither is sent to the driver for a broadcast."""
+    sums = ids.join(items.hint("merge"), "item").groupBy(query_col).agg(*[F.sum(c).alias(c) for c in feature_cols], F.count(F.lit(1)).alias("n_known"))
     return sums.select(query_col, *[(F.col(c) / F.col("n_known")).alias(c) for c in feature_cols], "n_known")
 
 

@@ -78,6 +78,21 @@ def test_large_catalogue_gives_the_same_list(spark, data, monkeypatch, few, coun
     assert run(True, broadcast_max_bytes=900, hot_rows=6) == whole[True]
 
 
+@pytest.mark.parametrize("exclude", [False, True])
+def test_pairs_and_items_are_not_broadcast(spark, data, tmp_dir, exclude):
+    """Few playlists over a large catalogue: what the driver gets does not grow with the pairs."""
+    items, pairs = data
+    pairs.withColumn("part", F.when(F.col("item") % 4 == 0, "test").otherwise("train")).write.parquet(f"{tmp_dir}/split")
+    items.write.parquet(f"{tmp_dir}/items")
+    split, items = spark.read.parquet(f"{tmp_dir}/split"), spark.read.parquet(f"{tmp_dir}/items")
+    means = similarity._joined_means(split.where("part = 'train'").drop("part"), items, COLS, "pid")
+    assert "BroadcastHashJoin" not in plan(means) and means.count() > 0
+    whole = plan(evaluate(split, items, COLS, exclude_seen=exclude, broadcast_max_bytes=900))
+    for line in whole.splitlines():
+        assert not ("BroadcastHashJoin" in line and "[item#" in line), line
+    assert "SortMergeJoin [item#" in whole
+
+
 @pytest.mark.parametrize("exclude", [False, True])
 def test_many_playlists_meet_a_large_catalogue_in_one_pass(spark, data, monkeypatch, exclude):
     """The hits are counted where the items are ranked: no list of recommendations is moved."""
