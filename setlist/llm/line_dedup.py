@@ -7,11 +7,13 @@ twice in the corpus are candidates; only their bytes are gathered and grouped
 (equal hash and equal bytes), the first occurrence by (doc_id, text hash,
 line) stays, every other one is cut out.
 
-``dedup_passages`` (the pipeline's stage) cuts repeated passages whole: its
+``dedup_passages`` cuts repeated passages whole: its
 chunks are every two neighbouring non-blank lines with the blank ones between
 them, at every place of a text, so a passage needs no border inside it.  A
 line goes if such a pair that holds it occurred before; the first occurrence
-of any line stays.  ``dedup_lines`` keeps the law that op5's SQL states.
+of any line stays.  ``dedup_lines`` keeps the law that op5's SQL states; with
+``passages`` (the pipeline's stage) it cuts by both laws at once, each found in the
+texts as they came, and blank lines at the ends of a chunk stay.
 
 Shuffles carry hashes of all chunks and the bytes of candidate chunks, never
 whole texts, unless the list of repeated hashes or of cuts outgrows the
@@ -58,18 +60,20 @@ def chunks(text: Column, window: int = WINDOW) -> Column:
     return let(F.transform(lines(text), lambda x: F.md5(x)), hashed)
 
 
+def _full(some_lines: Column) -> Column:
+    """Places, from 1, of the lines that are not blank."""
+    return F.filter(F.sequence(F.lit(1), F.size(some_lines)), lambda i: F.get(some_lines, i - 1).rlike(f"[^{SPACE_CLASS}]"))
+
+
 def pairs(text: Column, body: bool = False) -> Column:
     """Neighbouring non-blank lines with the blank ones between: structs of ``s``,
     ``n`` and ``h``, and of ``body`` (the bytes) if asked for."""
-    def full(x):
-        return F.filter(F.sequence(F.lit(1), F.size(x)), lambda i: F.get(x, i - 1).rlike(f"[^{SPACE_CLASS}]"))
-
     def pair(at, b):
         found = [at.alias("s"), F.size(b).alias("n"), F.xxhash64(b).alias("h")]
         return F.struct(*found, *([F.array_join(b, "\n").alias("body")] if body else []))
 
     def paired(x):
-        return let(full(x), lambda p: F.transform(
+        return let(_full(x), lambda p: F.transform(
             F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))),
             lambda at, j: let(F.slice(x, at, F.get(p, j + 1) - at + 1), lambda b: pair(at, b))))
 
@@ -102,15 +106,25 @@ def _kept_lines(all_lines: Column, cuts: Column) -> Column:
 
 
 def find_cuts(docs: DataFrame, text: str = "text", key: str = "doc_id",
-              window: int = WINDOW) -> DataFrame:
+              window: int = WINDOW, blank_ends: bool = True) -> DataFrame:
     """Per document with repeated chunks: ``k``, ``t`` (hash of its text) and
-    ``cuts``, the occurrences that go (written)."""
+    ``cuts``, the occurrences that go (written); without ``blank_ends`` from their first
+    non-blank line to the last."""
     keyed = _keyed(docs, text, key)
     found = keyed.select("k", "t", "x", F.inline(chunks(F.col("x"), window)))
     twice = _twice(found)
-    body = F.array_join(F.slice(lines(F.col("x")), F.col("s"), F.col("n")), "\n")
-    return _later(found.join(small_side(twice, 16), "h")
-                  .select("h", body.alias("body"), F.struct("k", "t", "s", "n").alias("at")))
+    held = found.join(small_side(twice, 16), "h")
+    part = F.slice(lines(F.col("x")), F.col("s"), F.col("n"))
+    if blank_ends:
+        held = held.withColumn("body", F.array_join(part, "\n"))
+    else:
+        def inner(b, f):
+            return F.when(F.size(f) > 0, F.array(F.struct(
+                F.array_join(b, "\n").alias("body"), (F.col("s") + F.get(f, 0) - 1).alias("s"),
+                (F.element_at(f, -1) - F.get(f, 0) + 1).alias("n"))))
+
+        held = held.select("h", "k", "t", F.inline(let(part, lambda b: let(_full(b), lambda f: inner(b, f)))))
+    return _later(held.select("h", "body", F.struct("k", "t", "s", "n").alias("at")))
 
 
 def find_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -122,6 +136,15 @@ def find_passages(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return cuts.withColumn("cuts", _merged(F.col("cuts")))
 
 
+def find_both(docs: DataFrame, text: str = "text", key: str = "doc_id", window: int = WINDOW) -> DataFrame:
+    """``find_cuts`` without blank ends and ``find_passages``, found in the same texts, as
+    disjoint cuts of a document."""
+    both = find_passages(docs, text, key).unionByName(find_cuts(docs, text, key, window, blank_ends=False))
+    spans = both.groupBy("k", "t").agg(F.flatten(F.collect_list("cuts")).alias("cuts"))
+    gone = F.array_sort(F.array_distinct(F.flatten(F.transform("cuts", lambda c: F.sequence(c["s"], c["s"] + c["n"] - 1)))))
+    return materialize(spans.withColumn("cuts", _merged(F.transform(gone, lambda i: F.struct(i.alias("s"), F.lit(1).alias("n"))))))
+
+
 def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"),
                        F.col(text).alias("x")).where(F.col("x").contains("\n"))
@@ -145,10 +168,11 @@ def _later(candidates: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id",
-                window: int = WINDOW, count: str | None = None) -> DataFrame:
+                window: int = WINDOW, count: str | None = None, passages: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text``; ``count`` names a
-    column for the number of lines cut."""
-    return _without(docs, find_cuts(docs, text, key, window), text, key, count)
+    column for the number of lines cut.  ``passages``: with repeated passages, whole, as well."""
+    find = find_both if passages else find_cuts
+    return _without(docs, find(docs, text, key, window), text, key, count)
 
 
 def dedup_passages(docs: DataFrame, text: str = "text", key: str = "doc_id",

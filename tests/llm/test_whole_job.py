@@ -147,3 +147,23 @@ def test_html_small_forms_and_comments_stay_apart():
                  "<p>Body text here</p><div class=related><article>Teaser</article></div>"):
         out, _ = wrappers.stream(page)
         assert [e[1] for e in out if e[0] == "x" and e[2] == wrappers._main(out)] == ["Body text here"]
+
+
+def test_pipeline_cuts_the_chunks_of_op5(spark, monkeypatch):
+    """A line that op5 cuts goes in the pipeline too, also where no other non-blank line stands in its chunk."""
+    rng = random.Random(3)
+    rows = [(None, "Title 1\n\nof a null id"), (200, "Title 1\n"), (201, "\n\n"), (202, "\n\n\n")]
+    for i in range(40):
+        body = "\n".join(f"own {i} {j}" for j in range(rng.randrange(1, 4)))
+        rows.append((i, f"Title {i % 5}" + "\n" * rng.randrange(2, 4) + body + rng.choice(["", "\n\nNote\n"])))
+    docs = frame(spark, rows)
+    op5 = {r["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_lines(docs).collect()}
+    lone = [x for i, t in rows for x in t.split("\n") if x.startswith(("Title", "Note"))]
+    assert sum(x in lone for t in op5.values() for x in t) < len(lone)  # op5 cuts some
+    for bound in (None, 0):  # broadcast and shuffled joins
+        if bound is not None:
+            monkeypatch.setattr("setlist.llm.common.BROADCAST_BYTES", -1)
+        got = {r["doc_id"]: r["text"].split("\n") for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+        for i, t in rows:
+            assert [x for x in got[i] if x] == [x for x in op5[i] if x]  # no passage repeats in these rows
+    assert {x for t in got.values() for x in t if x} == {x for _, t in rows for x in t.split("\n") if x}
