@@ -3,6 +3,7 @@
 import glob
 import json
 import os
+import random
 
 import numpy as np
 import pytest
@@ -11,11 +12,14 @@ from pyspark.sql import functions as F
 from setlist._workers import ship_by_value
 from setlist.operators import ledger, similarity, store, tiles
 from setlist.operators.bucketed import write_bucketed
-from setlist.operators.clean import first_seen_tracks
+from setlist.operators.clean import first_seen_in_files, first_seen_tracks
 from setlist.operators.evaluate import evaluate
 from setlist.operators.similarity import query_means_from_pairs, query_vectors, recommend_from_pairs
+from setlist.plans import files
 from setlist.sinks.writers import write_slice_tables
+from setlist.sources.readers import playlists_of, read_raw_files
 from setlist.streaming import incremental
+from setlist.streaming.incremental import clean_files
 
 ship_by_value(__name__)
 COLS = ["a", "b", "c"]
@@ -210,3 +214,47 @@ def test_a_store_of_many_ranges_has_few_files(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/data/**/*.parquet", recursive=True)) <= 8
     store.upsert(spark, tmp_dir, rows.where("k < 2").withColumn("v", F.lit(5)), "k", max_rows=20)
     assert store.read(spark, tmp_dir).agg(F.sum("v"), F.count("k")).first()[:] == (4008, 4000)
+
+
+def test_slices_take_little_disk(spark, tmp_dir):
+    """Raw files are written compressed, and neither playlists nor entries are written or shuffled to be cleaned."""
+    orders = spark.range(2500).selectExpr("id AS o_orderkey", "'1-URGENT' AS o_orderpriority", "'F' AS o_orderstatus",
+                                          "timestamp_ntz'2020-01-01' AS o_orderdate", "id % 9 AS o_custkey")
+    orders = orders.unionByName(orders.where("o_orderkey = 7")).unionByName(orders.where("o_orderkey = 8").withColumn("o_orderkey", F.lit(None).cast("long")))
+    lines = spark.range(5000).selectExpr("IF(id = 4, NULL, id div 4) AS l_orderkey", "id % 50 AS l_partkey", "id % 7 AS l_suppkey",
+                                         "cast(id % 4 AS int) AS l_linenumber", "'R' AS l_returnflag", "3.0D AS l_quantity")
+    for name, df in (("orders", orders), ("lineitem", lines)):
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    files._write_slices(spark, tmp_dir, f"{tmp_dir}/raw")
+    raw = glob.glob(f"{tmp_dir}/raw/file=*/part-*")
+    assert len(raw) == 2 and all(f.endswith(".gz") for f in raw)
+    read = read_raw_files(spark, f"{tmp_dir}/raw", lambda p: F.regexp_extract(p, "file=([^/]+)/", 1))
+    tracks = first_seen_in_files(read)
+    assert "Exchange" not in tracks._jdf.queryExecution().executedPlan().toString()
+    clean_files(read, f"{tmp_dir}/out")
+    stored = spark.read.parquet(f"{tmp_dir}/out/playlists")
+    assert stored.count() == 1251 and stored.where("pid = 7").count() == 2 and stored.where("pid = 1 AND size(tracks) = 3").count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/out/tracks").groupBy("slice").count().collect() and tracks.count() == 100
+
+
+def test_first_seen_in_files_is_first_seen(spark, tmp_dir):
+    def entry(rng):
+        return None if rng.random() < 0.1 else {"track_uri": rng.choice([None, *[f"x:track:{i}" for i in range(6)]]), "track_name": f"n{rng.random()}"}
+
+    rng = random.Random(4)
+    def document():
+        lists = [None if rng.random() < 0.1 else {"pid": p, "tracks": None if rng.random() < 0.2 else [entry(rng) for _ in range(rng.randrange(12))]}
+                 for p in range(rng.randrange(6))]
+        return {"playlists": None if rng.random() < 0.1 else lists}
+
+    for n in range(12):
+        for twice in range(1 + (n == 3)):  # a name that two files bear
+            os.makedirs(f"{tmp_dir}/{twice}", exist_ok=True)
+            with open(f"{tmp_dir}/{twice}/mpd.slice.{n}-{n}.json", "w") as f:
+                json.dump(document() if n != 3 else {"playlists": [{"pid": 1, "tracks": [{"track_uri": "x:track:1", "pos": 0}]}]}, f)
+    raw = read_raw_files(spark, [f"{tmp_dir}/0", f"{tmp_dir}/1"])
+    rows = lambda df: sorted(map(repr, df.collect()))
+    alone = raw.where("slice <> 'mpd.slice.3-3'")
+    assert rows(first_seen_in_files(alone)) == rows(first_seen_tracks(playlists_of(alone)))
+    clean_files(raw, f"{tmp_dir}/out")
+    assert spark.read.parquet(f"{tmp_dir}/out/tracks").where("slice = 'mpd.slice.3-3'").count() == 1
