@@ -47,6 +47,8 @@ def evaluate(split_long: DataFrame, items: DataFrame, feature_cols: list[str], *
     One shuffle by playlist: its train and held-out rows, tagged and sorted,
     meet in one kernel that forms the mean, ranks the candidates and counts the
     hits; of a catalogue above ``broadcast_max_bytes`` it holds one tile at a time.
+    Held-out items that n candidates are seen to come before are no hits, and a playlist
+    that has no others need not meet the rest of the catalogue (``_outranked``).
     Playlists above ``hot_rows`` rows (looked for only where there are
     so many rows at all), and few playlists over such a catalogue, are
     evaluated by joins over the salted and tiled operators.
@@ -113,9 +115,14 @@ def _scored(chunk: pd.DataFrame, catalogue, query_col: str, exclude_seen: bool)
         starts = np.searchsorted(group[train], np.flatnonzero(n_known > 0))
         means = np.add.reduceat(sums[at[train]], starts, axis=0)[n_test[n_known > 0] > 0] / n_known[asked, None]
         vectors = core._normalise(means)
+        row_of = _rows_of(asked, n)
+        best = _best_held_out(vectors, row_of[group[test]], uniq[at[test]], [(ids, unit)])
+        taken = core._seen_cells(row_of[group[train]], uniq[at[train]], ids) if exclude_seen else None
+        left = np.flatnonzero(~_outranked(vectors, n_test[asked], best, unit, taken))
+        asked, vectors = asked[left], vectors[left]
+    if len(asked):
         place = np.searchsorted(uniq, ids)  # of every candidate among the distinct ids
-        row_of = np.full(n, -1)
-        row_of[asked] = np.arange(len(asked))
+        row_of = _rows_of(asked, n)
         wanted = np.unique(group[test].astype(np.int64) * len(uniq) + at[test])
         seen_row, seen_at = row_of[group[train]], at[train]
         seen = core._seen_cells(seen_row, uniq[seen_at], ids) if exclude_seen else None
@@ -138,8 +145,14 @@ def _scored_by_tile(chunk: pd.DataFrame, held: list, width: int, query_col: str,
     asked = np.flatnonzero((n_known > 0) & (n_test > 0))
     hits = np.zeros(n, dtype=np.int64)
     if len(asked):
-        row_of = np.full(n, -1)
-        row_of[asked] = np.arange(len(asked))
+        vectors, row_of = core._normalise(total[asked] / n_known[asked, None]), _rows_of(asked, n)
+        best = _best_held_out(vectors, row_of[group[test]], item[test], tiles._each(held))
+        ids, raw = next(tiles._each(held))  # a known item lies in some tile
+        taken = core._seen_cells(row_of[group[train]], item[train], ids) if exclude_seen else None
+        asked = asked[~_outranked(vectors, n_test[asked], best, raw, taken)]
+        del ids, raw
+    if len(asked):
+        row_of = _rows_of(asked, n)
         seen = (row_of[group[train]], item[train]) if exclude_seen else None
         r, found, _, _ = tiles._best(total[asked] / n_known[asked, None], n_test[asked], held, seen)
         if len(r):
@@ -150,6 +163,59 @@ def _scored_by_tile(chunk: pd.DataFrame, held: list, width: int, query_col: str,
     return _rated(q[first], query_col, n_test, n_known, hits)
 
 
+def _rows_of(asked: np.ndarray, n: int) -> np.ndarray:
+    """The row of each of ``n`` groups among ``asked``, -1 for the others."""
+    rows = np.full(n, -1)
+    rows[asked] = np.arange(len(asked))
+    return rows
+
+
+def _best_held_out(vectors: np.ndarray, rows: np.ndarray, item: np.ndarray, held) -> np.ndarray:
+    """Of each unit vector the best score of its held-out items, pairs ``(rows, item)``, in the
+    tiles ``held`` of ids and vectors; minus infinity where none is known."""
+    best = np.full(len(vectors), -np.inf)
+    for ids, raw in held:
+        r, c = core._seen_cells(rows, item, ids)
+        for s in range(0, len(r), tiles.GATHER_ROWS):
+            some, at = r[s:s + tiles.GATHER_ROWS], c[s:s + tiles.GATHER_ROWS]
+            np.maximum.at(best, some, np.einsum("ij,ij->i", core._normalise(raw[at]), vectors[some]))
+    return best
+
+
+#: Candidates that a playlist meets first, and at most at a time.
+FIRST, MOST = 128, 8192
+
+
+def _outranked(vectors: np.ndarray, ks: np.ndarray, best: np.ndarray, x: np.ndarray, seen) -> np.ndarray:
+    """Rows of which no held-out item can be among the ``ks`` best: none is known, or ``ks`` of the
+    candidates ``x`` score above ``best`` by more than the error of single precision.  Candidates are met in an
+    order drawn by a fixed seed, ever more at a time, by the rows still open; ``seen``: cells
+    ``(rows, places)`` that are no candidates.  Rows that half of ``x`` leaves open stay so."""
+    t, d = x.shape
+    count, open_ = np.zeros(len(vectors), np.int64), np.flatnonzero(best > -np.inf)
+    limit = np.nextafter((best + (d + 4) * 2.0 ** -22).astype(np.float32), np.float32(np.inf))
+    order = np.random.default_rng(t).permutation(t)
+    mine, at, size = vectors.astype(np.float32), 0, FIRST
+    if seen is not None:
+        place = np.argsort(order)[seen[1]]
+        by_place = np.argsort(place, kind="stable")
+        seen_rows, place = seen[0][by_place], place[by_place]
+    while len(open_) and at + size <= t // 2:
+        block = core._normalise(x[order[at:at + size]]).astype(np.float32).T
+        step = max(1, core.SCORE_BLOCK_BYTES // (4 * size))
+        for s in range(0, len(open_), step):
+            rows = open_[s:s + step]
+            count[rows] += np.count_nonzero(mine[rows] @ block > limit[rows, None], axis=1)
+        if seen is not None:  # taken off whether they scored above or not: at worst a row stays open
+            lo, hi = np.searchsorted(place, (at, at + size))
+            count -= np.bincount(seen_rows[lo:hi], minlength=len(count))
+        at, size = at + size, min(2 * size, MOST)
+        open_ = open_[count[open_] < ks[open_]]
+    out = np.ones(len(vectors), bool)
+    out[open_] = False
+    return out
+
+
 def _rated(playlists, query_col: str, n_test, n_known, hits) -> pd.DataFrame:
     rate = np.where(n_test > 0, hits / np.maximum(n_test, 1), np.nan)
     return pd.DataFrame({query_col: playlists, "n_test": n_test, "n_known": n_known, "hits": hits,

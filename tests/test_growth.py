@@ -4,13 +4,15 @@ import glob
 import json
 import os
 import random
+import types
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from setlist._workers import ship_by_value
-from setlist.operators import ledger, similarity, store, tiles
+from setlist.operators import evaluate as evaluation, ledger, similarity, store, tiles
 from setlist.operators.bucketed import write_bucketed
 from setlist.operators.clean import first_seen_in_files, first_seen_tracks
 from setlist.operators.evaluate import evaluate
@@ -258,3 +260,40 @@ def test_first_seen_in_files_is_first_seen(spark, tmp_dir):
     assert rows(first_seen_in_files(alone)) == rows(first_seen_tracks(playlists_of(alone)))
     clean_files(raw, f"{tmp_dir}/out")
     assert spark.read.parquet(f"{tmp_dir}/out/tracks").where("slice = 'mpd.slice.3-3'").count() == 1
+
+
+@pytest.mark.parametrize("exclude", [False, True])
+def test_outranked_held_out_items_are_not_ranked(exclude, monkeypatch):
+    """Playlists whose held-out items many candidates come before don't meet the whole catalogue; hits stay those of the whole ranking."""
+    rng = np.random.default_rng(5)
+    t, d, n = 4000, 16, 300
+    ids = np.sort(np.r_[np.arange(t - 40), rng.integers(0, t - 40, 40)])  # some ids have copies
+    raw = rng.normal(size=(t, d))
+    raw[0] = 0  # scores 0 against everything
+    unit = similarity._normalise(raw)
+    rows = []
+    for p in range(n):
+        train = rng.choice(t, rng.integers(1, 4), replace=False)
+        near = np.argsort(-(unit @ raw[train].mean(0)))
+        test = ids[near[rng.integers(0, 6, 2)]] if p % 6 == 0 else rng.integers(0, t + 500, 2)  # some hit, some are unknown
+        rows += [(p, 0, i) for i in np.unique(ids[train])] + [(p, 1, i) for i in np.sort(test)]
+    rows += [(n, 0, 5), (n + 1, 1, 5), (n + 2, 0, 10 ** 6), (n + 2, 1, 5)]  # nothing held out, no train item, none known
+    chunk = pd.DataFrame(rows, columns=["pid", "_role", "item"]).assign(_has=True)
+    uniq, first, copies = np.unique(ids, return_index=True, return_counts=True)
+    catalogue = ids, unit, uniq, np.add.reduceat(raw, first, axis=0), copies.astype(float)
+    tile = [types.SimpleNamespace(value=(ids[s::2], raw[s::2])) for s in range(2)]
+    monkeypatch.setattr(tiles, "_each", lambda held: (x if isinstance(x, tuple) else x.value for x in held))
+    ranked = []
+    monkeypatch.setattr(similarity, "_best_rows", lambda q, *a, f=similarity._best_rows, **k: ranked.append(len(q)) or f(q, *a, **k))
+
+    def both():
+        ranked.clear()
+        return (evaluation._scored(chunk, catalogue, "pid", exclude), evaluation._scored_by_tile(chunk, tile, d, "pid", exclude)), max(ranked)
+
+    (one, two), met = both()
+    monkeypatch.setattr(evaluation, "_outranked", lambda v, *a: np.zeros(len(v), bool))
+    (whole, tiled), most = both()
+    pd.testing.assert_frame_equal(one, whole)
+    pd.testing.assert_frame_equal(two, tiled)
+    pd.testing.assert_frame_equal(one, two)
+    assert whole["hits"].sum() > 20 and most == n and met < n // 2
